@@ -30,6 +30,9 @@ _PREFIX_DATE = rf"^\s*({_DATE_PART})"
 FORMAT_12H = "M/d/y h:m:s a"
 FORMAT_24H = "M/d/y H:m:s"
 FORMAT_DATE = "M/d/y"
+STRICT_12H = "MM/dd/yyyy hh:mm:ss a"
+STRICT_24H = "MM/dd/yyyy HH:mm:ss"
+STRICT_DATE = "MM/dd/yyyy"
 
 
 def _col(c) -> Column:
@@ -48,24 +51,44 @@ def is_twelve_hour(c) -> Column:
     return c.contains("AM") | c.contains("PM")
 
 
-def parse_report_timestamp(c) -> Column:
-    """Text -> TIMESTAMP in either report layout; null when it does not parse."""
-    c = _col(c)
+def _lenient_timestamp(c: Column) -> Column:
     twelve = F.try_to_timestamp(_prefix(c, _PREFIX_12H), F.lit(FORMAT_12H))
     twenty_four = F.try_to_timestamp(_prefix(c, _PREFIX_24H), F.lit(FORMAT_24H))
     return F.when(is_twelve_hour(c), twelve).otherwise(twenty_four)
 
 
+def parse_report_timestamp(c) -> Column:
+    """Text -> TIMESTAMP in either report layout; null when it does not parse.
+
+    Fast path: a text of exactly the canonical length (22 characters for
+    ``MM/dd/yyyy hh:mm:ss AM``, 19 for ``MM/dd/yyyy HH:mm:ss``) is parsed with
+    the strict two-digit pattern, no regular expression involved. Whenever
+    that parse succeeds the lenient recipe yields the same instant (the whole
+    text is one valid prefix with a four-digit year), so the lenient recipe
+    only runs for the rows the fast path leaves null.
+    """
+    c = _col(c)
+    twelve = is_twelve_hour(c)
+    n = F.length(c)
+    fast = F.when(twelve & (n == 22), F.try_to_timestamp(c, F.lit(STRICT_12H))).when(
+        ~twelve & (n == 19), F.try_to_timestamp(c, F.lit(STRICT_24H))
+    )
+    return F.coalesce(fast, _lenient_timestamp(c))
+
+
 def report_date_part(c) -> Column:
     """DATE of the text before its first blank (``MM/dd/yyyy``), else null.
 
     A text that starts with a blank has an empty first part, so its date is
     null even though its timestamp parses; a date-only text has a date but no
-    timestamp. Both follow the original.
+    timestamp. Both follow the original. A first part of exactly ten
+    characters is tried with the strict pattern first (same result when it
+    parses); the lenient prefix recipe handles the rest.
     """
-    c = _col(c)
-    first = F.get(F.split(c, " "), 0)
-    return F.try_to_timestamp(_prefix(first, _PREFIX_DATE), F.lit(FORMAT_DATE)).cast("date")
+    first = F.substring_index(_col(c), " ", 1)
+    fast = F.when(F.length(first) == 10, F.try_to_timestamp(first, F.lit(STRICT_DATE)))
+    lenient = F.try_to_timestamp(_prefix(first, _PREFIX_DATE), F.lit(FORMAT_DATE))
+    return F.coalesce(fast, lenient).cast("date")
 
 
 def effective_send_date(message_sent, file_date) -> Column:

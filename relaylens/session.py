@@ -36,6 +36,13 @@ EXECUTION_CONF = {
 }
 
 
+# Let the JIT compile large generated methods. Whole-stage codegen fuses a
+# scan, a join, a wide projection and an aggregation into one method; above
+# 8000 bytes of bytecode HotSpot would otherwise leave it interpreted. Only
+# effective for JVMs this builder launches (driver in local mode, executors).
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "relaylens",
@@ -50,6 +57,8 @@ def build_session(
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SEMANTIC_CONF)
     conf.update(EXECUTION_CONF)
+    conf.setdefault("spark.driver.extraJavaOptions", JIT_OPTIONS)
+    conf.setdefault("spark.executor.extraJavaOptions", JIT_OPTIONS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is None:

@@ -46,86 +46,84 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _seconds(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
-
-
 def _as_text(ts: Column, twelve_hour: Column) -> Column:
     return F.when(twelve_hour, F.date_format(ts, TEXT_12H)).otherwise(F.date_format(ts, TEXT_24H))
 
 
+def _after(ts: Column, seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds, ts)
+
+
 def messages_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Report rows (24 report columns + SRC_LOB + Sent_Date) from the two tables.
 
-    Only the columns the rules need are read (pruned at the Parquet scan). The
-    join is an equi-join on the order key; Catalyst/AQE choose broadcast or
-    sort-merge by the measured size of ``orders``.
+    Plan shape, chosen for scale:
+
+    * both sides are pruned to the columns the rules need (6 of ``lineitem``,
+      3 of ``orders``) at the Parquet scan, and the join runs on these narrow
+      rows -- the 26 text columns are computed AFTER the join, so the shuffle
+      moves a few numbers per row instead of ~400 bytes of text;
+    * the join is pinned to a sort-merge join on the order key. ``orders`` has
+      a quarter of the rows of ``lineitem`` and grows with it, so it has no
+      size bound that would make broadcasting it safe at scale; a shuffle join
+      is what the planner must pick there anyway, and AQE still coalesces or
+      splits (skew) the shuffle partitions at run time;
+    * the text work then runs in parallel over the join's partitions.
     """
     li = lineitem.select(*LINEITEM_COLUMNS)
-    od = orders.select(*ORDERS_COLUMNS)
+    od = orders.select(*ORDERS_COLUMNS).hint("merge")
     j = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
 
-    month = F.trunc(F.to_date(F.col("o_orderdate")), "month")
-    base = month.cast("timestamp_ntz")
-    sent_ts = (
-        base
-        + F.make_dt_interval(F.lit(1), F.col("l_linenumber"), F.lit(0), F.lit(0).cast("decimal(18,6)"))
-        + _seconds(F.col("l_suppkey") % 3600)
-    )
-    conf_ts = sent_ts + _seconds(F.col("l_partkey") % 7200)
-    fax_sent_ts = sent_ts + F.make_dt_interval(F.lit(0), F.lit(1))
-    fax_conf_ts = fax_sent_ts + _seconds(F.col("l_partkey") % 600)
-    twelve = (F.col("l_partkey") % 2) == 0
-
+    none = F.lit(None).cast("string")
+    k_part, k_supp, k_line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    supp_text = k_supp.cast("string")
     direct = (
         F.when(F.col("l_quantity") <= 20, F.lit("Confirmed"))
         .when(F.col("l_quantity") > 45, F.lit("Failed"))
         .otherwise(F.lit("Dispatched"))
     )
     failed = direct == "Failed"
-    sent_text = F.when((F.col("l_partkey") % 17) == 0, F.lit(None).cast("string")).otherwise(
-        _as_text(sent_ts, twelve)
-    )
-    conf_text = F.when((direct == "Dispatched") | sent_text.isNull(), F.lit(None).cast("string")).otherwise(
-        _as_text(conf_ts, twelve)
-    )
-    suppkey_text = F.col("l_suppkey").cast("string")
-    npi = F.when((F.col("l_suppkey") % 10) == 9, F.col("l_suppkey") + F.lit(3000000000)).otherwise(
-        F.col("l_suppkey") + F.lit(1000000000)
-    )
-    none = F.lit(None).cast("string")
+    twelve = (k_part % 2) == 0
+    no_sent_text = (k_part % 17) == 0
+    fax_busy = (k_part % 3) == 0
+    month = F.trunc(F.to_date(F.col("o_orderdate")), "month")
+    sent_ts = _after(month.cast("timestamp_ntz"), F.lit(86400) + k_line * 3600 + k_supp % 3600)
+    fax_sent_ts = _after(sent_ts, F.lit(3600))
+    npi = F.when((k_supp % 10) == 9, k_supp + F.lit(3000000000)).otherwise(k_supp + F.lit(1000000000))
 
     cols = {
-        "IDENTIFIER": F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")),
-        "ROW_NUMBER": F.col("l_linenumber").cast("string"),
-        "PROGRAM": F.concat(F.lit("program "), (F.col("l_partkey") % 4).cast("string")),
-        "PROVIDER_FIRST_NAME": F.concat(F.lit("First"), suppkey_text),
-        "PROVIDER_LAST_NAME": F.concat(F.lit("Last"), suppkey_text),
-        "ADDRESS1": F.concat(suppkey_text, F.lit(" Main St")),
-        "ADDRESS2": F.when((F.col("l_linenumber") % 2) == 0, F.concat(F.lit("Suite "), F.col("l_linenumber").cast("string"))).otherwise(none),
-        "CITY": F.concat(F.lit("City "), (F.col("l_suppkey") % 20).cast("string")),
+        "IDENTIFIER": F.concat_ws("-", F.col("l_orderkey"), k_line, k_part),
+        "ROW_NUMBER": k_line.cast("string"),
+        "PROGRAM": F.concat(F.lit("program "), (k_part % 4).cast("string")),
+        "PROVIDER_FIRST_NAME": F.concat(F.lit("First"), supp_text),
+        "PROVIDER_LAST_NAME": F.concat(F.lit("Last"), supp_text),
+        "ADDRESS1": F.concat(supp_text, F.lit(" Main St")),
+        "ADDRESS2": F.when((k_line % 2) == 0, F.concat(F.lit("Suite "), k_line.cast("string"))).otherwise(none),
+        "CITY": F.concat(F.lit("City "), (k_supp % 20).cast("string")),
         "STATE": F.lit("NY"),
-        "ZIPCODE": F.lpad(suppkey_text, 5, "0"),
+        "ZIPCODE": F.lpad(supp_text, 5, "0"),
         "PRESCRIBER_NPI": npi.cast("string"),
         "NPI Match Status": F.when(F.col("l_linestatus") == "F", F.lit("Found")).otherwise(F.lit("Not Found")),
-        "Provider_Directaddress": F.when((F.col("l_suppkey") % 10) == 0, none).otherwise(F.concat(F.lit("dm"), suppkey_text)),
+        "Provider_Directaddress": F.when((k_supp % 10) == 0, none).otherwise(F.concat(F.lit("dm"), supp_text)),
         "Direct Status": direct,
         "Failure Reason": F.when(failed, F.lit("undeliverable")).otherwise(none),
-        "Date Message Sent": sent_text,
-        "Date Failed/Confirmed": conf_text,
-        "FAX_NUMBER": F.when(failed, (F.col("l_suppkey") + F.lit(5550000000)).cast("string")).otherwise(none),
-        "FAX_STATUS": F.when(failed, F.when((F.col("l_partkey") % 3) == 0, F.lit("Failed")).otherwise(F.lit("Delivered"))).otherwise(none),
-        "FAX_ERROR_MESSAGES": F.when(failed & ((F.col("l_partkey") % 3) == 0), F.lit("line busy")).otherwise(none),
-        "NUMBER_FAX_PAGES": F.when(failed, ((F.col("l_linenumber") % 4) + 1).cast("string")).otherwise(none),
+        "Date Message Sent": F.when(no_sent_text, none).otherwise(_as_text(sent_ts, twelve)),
+        "Date Failed/Confirmed": F.when((direct == "Dispatched") | no_sent_text, none).otherwise(
+            _as_text(_after(sent_ts, k_part % 7200), twelve)
+        ),
+        "FAX_NUMBER": F.when(failed, (k_supp + F.lit(5550000000)).cast("string")).otherwise(none),
+        "FAX_STATUS": F.when(failed, F.when(fax_busy, F.lit("Failed")).otherwise(F.lit("Delivered"))).otherwise(none),
+        "FAX_ERROR_MESSAGES": F.when(failed & fax_busy, F.lit("line busy")).otherwise(none),
+        "NUMBER_FAX_PAGES": F.when(failed, ((k_line % 4) + 1).cast("string")).otherwise(none),
         "FAX_Date Message Sent": F.when(failed, _as_text(fax_sent_ts, twelve)).otherwise(none),
-        "FAX_Date_Failed/Confirmed": F.when(failed, _as_text(fax_conf_ts, twelve)).otherwise(none),
-        "OVERALL_STATUS": F.when((F.col("l_partkey") % 5) == 0, none)
+        "FAX_Date_Failed/Confirmed": F.when(failed, _as_text(_after(fax_sent_ts, k_part % 600), twelve)).otherwise(none),
+        "OVERALL_STATUS": F.when((k_part % 5) == 0, none)
         .when(direct == "Confirmed", F.lit("Successful"))
         .otherwise(F.lit("Failed")),
         "SRC_LOB": F.when((F.col("l_orderkey") % 97) == 0, none).otherwise(F.col("o_orderpriority")),
         "Sent_Date": month,
     }
-    return j.select(*[cols[name].alias(name) for name in RAW_COLUMNS])
+    return j.select(*[cols[n].alias(n) for n in RAW_COLUMNS])
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
