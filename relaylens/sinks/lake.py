@@ -88,6 +88,8 @@ def archive_files(spark: SparkSession, paths: list[str], archive_root: str, wind
         fs = src.getFileSystem(conf)
         fs.mkdirs(target_dir)
         dst = Path(target_dir, src.getName())
+        if fs.exists(dst):  # a retried window archives the same files again
+            fs.delete(dst, False)
         if fs.rename(src, dst):
             moved.append(dst.toString())
     return moved
