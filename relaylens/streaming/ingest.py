@@ -26,6 +26,10 @@ from relaylens.contract import REPORT_GLOB
 from relaylens.functions.filename import decode_file_name
 
 
+# The binaryFile source's fixed schema (streaming sources need it stated).
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def report_file_stream(
     spark: SparkSession,
     inbox: str,
@@ -34,7 +38,7 @@ def report_file_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming frame of newly arrived report files: (path, modified)."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
