@@ -19,12 +19,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _text_to_integral(c, type_name: str) -> Column:
+    # Fast path: a plain integer text casts directly (no regular expression);
+    # only texts it rejects (a fraction, junk, out of range) take the pattern.
+    c = _col(c)
+    return F.coalesce(c.try_cast(type_name), F.regexp_extract(c, _INTEGER_TEXT, 1).try_cast(type_name))
+
+
 def text_to_int(c) -> Column:
-    return F.regexp_extract(_col(c), _INTEGER_TEXT, 1).try_cast("int")
+    return _text_to_integral(c, "int")
 
 
 def text_to_bigint(c) -> Column:
-    return F.regexp_extract(_col(c), _INTEGER_TEXT, 1).try_cast("bigint")
+    return _text_to_integral(c, "bigint")
 
 
 def to_decimal(c, precision: int, scale: int) -> Column:

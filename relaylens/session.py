@@ -94,6 +94,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; on a cluster it must name a shared folder "
+            "(a machine-local temporary folder would not survive a lost executor)"
+        )
     local = tempfile.mkdtemp(prefix="relaylens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
