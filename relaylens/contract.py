@@ -234,20 +234,6 @@ RAW_TEXT_SCHEMA = T.StructType(
     ]
 )
 
-# The contract as the original declared it (used only to document types).
-DECLARED_REPORT_TYPES = {
-    "ROW_NUMBER": T.IntegerType(),
-    "ZIPCODE": T.IntegerType(),
-    "PRESCRIBER_NPI": T.IntegerType(),
-    "FAX_NUMBER": T.LongType(),
-    "NUMBER_FAX_PAGES": T.IntegerType(),
-}
-
-
-def detail_ddl_columns() -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in DETAIL_SCHEMA)
-
-
 def schema_ddl(schema: T.StructType) -> str:
     parts = []
     for f in schema.fields:
