@@ -52,3 +52,26 @@ def test_stream_runs_full_load(spark, scratch_dir):
     assert len(results) == 1
     n = results[0].audits["DetailTable"]["window_inserts"]
     assert n > 0 and spark.table(f"{db}.DetailTable").count() == n
+
+
+def test_stream_archives_consumed_files(spark, scratch_dir):
+    staging = os.path.join(scratch_dir, "staging")
+    files = write_reports(spark, SF, staging, ["1995-01"])
+    inbox = os.path.join(scratch_dir, "in_box")
+    archive = os.path.join(scratch_dir, "archive")
+    os.makedirs(inbox)
+    shutil.copy(files[0], inbox)
+    ckpt = os.path.join(scratch_dir, "ckpt")
+    seen = []
+
+    def record(sess, paths, window_id, batch_id):
+        seen.append([os.path.basename(p) for p in paths])
+
+    start_ingest(spark, inbox, ckpt, record, archive_dir=archive).awaitTermination(120)
+    shutil.copy(files[1], inbox)
+    start_ingest(spark, inbox, ckpt, record, archive_dir=archive).awaitTermination(120)
+    # the first batch's file was moved when the second batch was planned
+    assert os.path.basename(files[0]) not in os.listdir(inbox)
+    archived = [f for _, _, fs in os.walk(archive) for f in fs]
+    assert os.path.basename(files[0]) in archived
+    assert [n for b in seen for n in b] == [os.path.basename(files[0]), os.path.basename(files[1])]
