@@ -131,14 +131,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from(load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "orders"))
 
 
-def messages_sql() -> str:
-    """The same rows as ANSI SQL (DuckDB dialect), for the oracle.
-
-    Views ``lineitem`` and ``orders`` must exist.
-    """
-    return MESSAGES_SQL
-
-
+# The same rows as ANSI SQL (DuckDB dialect), for the oracle; views ``lineitem``
+# and ``orders`` must exist.
 _SENT_TS = (
     "(CAST(date_trunc('month', o.o_orderdate) AS DATE)::TIMESTAMP + INTERVAL 1 DAY"
     " + to_hours(l.l_linenumber) + to_seconds(l.l_suppkey % 3600))"

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from relaylens.contract import REPORT_GLOB
 from relaylens.functions.filename import decode_file_name
+from relaylens.functions.text import window_id_of
 
 
 # The binaryFile source's fixed schema (streaming sources need it stated).
@@ -47,9 +48,9 @@ def report_file_stream(
 
 
 def batch_window_id(files: DataFrame, batch_id: int) -> str:
-    first = files.agg(F.min("modified").alias("m")).first()["m"]
-    stamp = first.strftime("%Y%m%d%H%M") if first is not None else "000000000000"
-    return f"{stamp}-{batch_id}"
+    """``<minute of the batch's oldest file>-<batch id>``: the same for a replay."""
+    stamp = files.agg(window_id_of(F.min("modified")).alias("w")).first()["w"]
+    return f"{stamp or '000000000000'}-{batch_id}"
 
 
 def start_ingest(
