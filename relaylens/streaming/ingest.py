@@ -53,6 +53,11 @@ def batch_window_id(files: DataFrame, batch_id: int) -> str:
     return f"{stamp or '000000000000'}-{batch_id}"
 
 
+# Files per micro-batch unless the caller says otherwise: the batch step holds
+# one path per file, so a large backlog drains as several bounded loads.
+DEFAULT_MAX_FILES_PER_TRIGGER = 10000
+
+
 def start_ingest(
     spark: SparkSession,
     inbox: str,
@@ -60,7 +65,7 @@ def start_ingest(
     process: Callable[[SparkSession, list[str], str, int], object],
     pattern: str = REPORT_GLOB,
     archive_dir: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
