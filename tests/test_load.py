@@ -111,3 +111,18 @@ def test_jdbc_probe_count_and_catalog(spark):
     assert part.rdd.getNumPartitions() == 2 and part.count() == 3
     tables = jdbc.remote_catalog(spark, target, "SELECT CAST(TABLENAME AS VARCHAR(128)) AS TABLENAME FROM SYS.SYSTABLES")
     assert "T1" in [r[0] for r in tables.collect()]
+
+
+def test_window_count_scope(spark, scratch_dir):
+    db = "lake_" + uuid.uuid4().hex[:8]
+    cfg = _cfg(scratch_dir, db)
+    cfg.count_scope = "window"
+    cfg.archive_dir = None
+    write_reports(spark, SF, cfg.inbox, ["1995-05"])
+    first = run_load(spark, cfg, window_id="202101010000", run_date="2021-01-01")
+    n = first.audits[DETAIL_TABLE]["window_inserts"]
+    second = run_load(spark, cfg, window_id="202101010100", run_date="2021-01-01")
+    d = second.audits[DETAIL_TABLE]
+    # only the loaded window is counted, in both sinks
+    assert (d["delta_count"], d["synapse_count"], d["count_validation"]) == (n, n, "PASSED")
+    assert spark.table(f"{db}.DetailTable").count() == 2 * n
