@@ -183,7 +183,7 @@ def q_detail_normalize(spark, sf_dir):
 def q_project_to_target(spark, sf_dir):
     detail = normalize_detail(_msgs(spark, sf_dir), QUERY_WINDOW_ID)
     target_schema = T.StructType([DETAIL_SCHEMA[n] for n in WAREHOUSE_DETAIL_ORDER])
-    target = spark.createDataFrame([], target_schema)
+    target = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in target_schema.fields])
     return project_to_target(detail, target)
 
 
