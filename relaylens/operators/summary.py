@@ -3,8 +3,9 @@
 Two forms are offered and produce the same rows:
 
 * ``daily_summary`` -- the production plan: ONE conditional aggregation
-  (``daily_stats``) grouped by (SRC_LOB, effective date). Two exchanges (the
-  distinct count of addresses adds the second), no join, one scan of the input.
+  (``daily_stats``) grouped by (SRC_LOB, effective date), in two levels (per
+  address, then per day, which turns the distinct count of addresses into a
+  count of keys). Two exchanges, no join, one scan of the input.
   Partial aggregation runs before every shuffle, so a (LOB, day) group holding
   a third of all rows costs one row per map task, not a third of the data in
   one task.
@@ -220,16 +221,29 @@ def daily_stats(raw: DataFrame) -> DataFrame:
         F.col("eligible"),
         confirm_seconds(parse_report_timestamp(F.col("sent_text")), parse_report_timestamp(F.col("confirmed_text"))),
     )
-    return pre.groupBy(LOB, DATE).agg(
+    # Level 1: per (LOB, day, address) -- the distinct count of addresses
+    # becomes a count of non-null keys at level 2. Both levels aggregate
+    # partially before their shuffle, so a hot (LOB, day) group is first split
+    # by address and then arrives at level 2 as one partial row per task.
+    per_address = pre.groupBy(LOB, DATE, "address").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(_c(LOB)).alias("attempts"),
-        F.count_distinct(F.col("address")).alias("reached"),
         F.count_if(F.col("is_found")).alias("matched"),
         F.count_if(F.col("is_confirmed")).alias("successful"),
         F.count_if(F.col("eligible")).alias("elig_count"),
         F.count_if(F.col("eligible") & F.col("is_failed")).alias("elig_failed"),
         F.sum(secs).alias("elig_secs"),
     )
+    return per_address.groupBy(LOB, DATE).agg(
+        F.sum("rows").alias("rows"),
+        F.sum("attempts").alias("attempts"),
+        F.count("address").alias("reached"),
+        F.sum("matched").alias("matched"),
+        F.sum("successful").alias("successful"),
+        F.sum("elig_count").alias("elig_count"),
+        F.sum("elig_failed").alias("elig_failed"),
+        F.sum("elig_secs").alias("elig_secs"),
+    )
 
 
 def summary_from_stats(stats: DataFrame, window_id: str, with_default_flag: bool = False) -> DataFrame:
