@@ -45,3 +45,17 @@ def test_cli_load(spark, scratch_dir, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["window_id"] == "202102030405" and out["files"] > 0
     assert spark.table(f"{db}.DetailTable").where("WINDOW_ID = '202102030405'").count() > 0
+
+
+def test_cli_stream(spark, scratch_dir, capsys):
+    from relaylens.__main__ import main
+
+    inbox = os.path.join(scratch_dir, "in_box")
+    write_reports(spark, SF, inbox, ["1995-06"])
+    db = "clis_" + uuid.uuid4().hex[:6]
+    rc = main(["stream", "--inbox", inbox, "--lake-root", os.path.join(scratch_dir, "lake"), "--database", db,
+               "--checkpoint", os.path.join(scratch_dir, "ckpt"), "--run-date", "2021-02-03"])
+    assert rc == 0
+    batches = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(batches) == 1 and batches[0]["files"] > 0
+    assert spark.table(f"{db}.DetailTable").count() > 0
