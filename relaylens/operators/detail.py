@@ -73,19 +73,25 @@ def _convert(source: str) -> Column:
     return c
 
 
-def normalize_detail(raw: DataFrame, window_id: str) -> DataFrame:
+def normalize_detail(raw: DataFrame, window_id: str, wide_npi_column: str | None = None) -> DataFrame:
     """The detail table: typed columns, detail names, batch id, '' fills.
 
     Integer texts become INT/BIGINT (a fraction is dropped; out of range or
     malformed -> null, so a 10-digit NPI above 2,147,483,647 is null); the four
     timestamp texts are parsed by ``parse_report_timestamp``; the zip code stays
-    text so leading zeros survive.
+    text so leading zeros survive. ``wide_npi_column`` (opt-in) appends the NPI
+    as BIGINT under that name, so values beyond INT are kept as well.
     """
     cols = [_convert(src).alias(dst) for src, dst in DETAIL_COLUMN_MAP]
     cols.append(F.lit(window_id).cast("string").alias(WINDOW_ID_COLUMN))
+    if wide_npi_column:
+        cols.append(text_to_bigint(_raw("PRESCRIBER_NPI").cast("string")).alias(wide_npi_column))
     detail = raw.select(*cols)
     detail = fill_empty(detail, DETAIL_FILL_EMPTY)
-    return detail.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DETAIL_SCHEMA])
+    out = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DETAIL_SCHEMA]
+    if wide_npi_column:
+        out.append(F.col(wide_npi_column))
+    return detail.select(*out)
 
 
 def status_flags(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -52,3 +52,9 @@ def test_status_flags_and_target_order(spark):
     d = normalize_detail(raw, "w")
     target = list(reversed(d.columns))
     assert project_to_target(d, target).columns == target
+
+
+def test_wide_npi_column_keeps_values_beyond_int(spark):
+    raw = raw_rows(spark, [msg(PRESCRIBER_NPI="2345678901"), msg(PRESCRIBER_NPI="1234567890")])
+    rows = normalize_detail(raw, "w", wide_npi_column="PRSCr_NPI_BIG").select("PRSCr_NPI", "PRSCr_NPI_BIG").collect()
+    assert [tuple(r) for r in rows] == [(None, 2345678901), (1234567890, 1234567890)]
