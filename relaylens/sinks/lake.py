@@ -67,11 +67,18 @@ def write_alert_text(alert_doc: DataFrame, alerts_dir: str, run_date: str, windo
 
 def stage(df: DataFrame, name: str, window_id: str) -> DataFrame:
     """Write ``df`` as Parquet under ``<checkpoint dir>/staging/<window>/<name>``
-    and return a frame that reads it back (the rows' count is observed)."""
+    and return a frame that reads it back."""
+    return stage_counted(df, name, window_id)[0]
+
+
+def stage_counted(df: DataFrame, name: str, window_id: str) -> tuple[DataFrame, int]:
+    """``stage`` that also returns the number of rows written, observed on the
+    write itself (no second job)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/staging/{window_id}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"stage_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
 
 
 def archive_files(spark: SparkSession, paths: list[str], archive_root: str, window_id: str) -> list[str]:
