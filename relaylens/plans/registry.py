@@ -52,6 +52,7 @@ from relaylens.operators.summary import (
     summary_from_stats,
 )
 from relaylens.session import apply_semantic_conf
+from relaylens.sources.events import EVENT_MESSAGES_SQL, event_messages
 from relaylens.sources.messages import MESSAGES_SQL, load_table, messages
 from relaylens.sources.reports import union_report_frames
 
@@ -251,6 +252,20 @@ def q_load_elapsed(spark, sf_dir):
     )
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_semantic_conf(spark)
+    return event_messages(spark, sf_dir)
+
+
+def q_daily_summary_events(spark, sf_dir):
+    """The flagship summary over the second input (``events``; no join)."""
+    return daily_summary(_events(spark, sf_dir), QUERY_WINDOW_ID)
+
+
+def q_low_rate_alerts_events(spark, sf_dir):
+    return low_rate_alerts(_events(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_contract": q_ingest_contract,
     "union_by_name": q_union_by_name,
@@ -277,6 +292,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_counts": q_audit_counts,
     "audit_recent": q_audit_recent,
     "load_elapsed": q_load_elapsed,
+    "daily_summary_events": q_daily_summary_events,
+    "low_rate_alerts_events": q_low_rate_alerts_events,
 }
 
 
@@ -327,6 +344,8 @@ DIRECT = '"Direct Status"'
 WID = f"'{QUERY_WINDOW_ID}'"
 
 _WITH_M = f"WITH m AS ({MESSAGES_SQL})"
+# The same fragments read the second input when ``m`` is the events adapter.
+_WITH_E = f"WITH m AS ({EVENT_MESSAGES_SQL})"
 _EFF = f"coalesce({_datepart(SENT)}, \"Sent_Date\")"
 
 
@@ -537,6 +556,10 @@ def oracle_sql() -> dict[str, str]:
             f"({_epoch(_ts(CONF))} - {_epoch(_ts(SENT))}) // 60 AS elapsed_minutes, "
             f"({_epoch(_ts(CONF))} - {_epoch(_ts(SENT))}) AS elapsed_seconds FROM m"
         ),
+        "daily_summary_events": (
+            f"{_WITH_E}, {_TOTALS_CTE}, {_PHASE_CTE}, {_MERGE_CTE}, {_SUMMARY_CTE} SELECT {_SUMMARY_COLS} FROM s"
+        ),
+        "low_rate_alerts_events": f"{_WITH_E}, {_RATES_CTE}, {_ALERTS_CTE} SELECT * FROM a",
     }
     return sql
 
