@@ -94,6 +94,35 @@ def normalize_detail(raw: DataFrame, window_id: str, wide_npi_column: str | None
     return detail.select(*out)
 
 
+def quality_metrics() -> list[Column]:
+    """Data-quality counters over raw rows, for ``DataFrame.observe``.
+
+    * ``sent_unparseable`` / ``confirmed_unparseable``: a text is present but
+      is no timestamp in either layout;
+    * ``lowercase_meridiem``: the text carries a lower-case am/pm and no
+      upper-case one, so it was read as 24-hour (kept for parity);
+    * ``npi_beyond_int``: an NPI that is a whole number but does not fit INT;
+    * ``null_lob`` / ``null_file_date``: the file name gave no line of business
+      or no date.
+    """
+    sent, conf = _raw("Date Message Sent"), _raw("Date Failed/Confirmed")
+    npi = _raw("PRESCRIBER_NPI").cast("string")
+
+    def unparseable(c):
+        return c.isNotNull() & (F.trim(c) != "") & parse_report_timestamp(c).isNull()
+
+    lower = sent.rlike(r"\s[ap]m\b") & ~(sent.contains("AM") | sent.contains("PM"))
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(unparseable(sent)).alias("sent_unparseable"),
+        F.count_if(unparseable(conf)).alias("confirmed_unparseable"),
+        F.count_if(lower).alias("lowercase_meridiem"),
+        F.count_if(text_to_int(npi).isNull() & text_to_bigint(npi).isNotNull()).alias("npi_beyond_int"),
+        F.count_if(_raw("SRC_LOB").isNull()).alias("null_lob"),
+        F.count_if(_raw("Sent_Date").isNull()).alias("null_file_date"),
+    ]
+
+
 def status_flags(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Per-row flags the summary and alerts count.
 

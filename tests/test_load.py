@@ -126,3 +126,25 @@ def test_window_count_scope(spark, scratch_dir):
     # only the loaded window is counted, in both sinks
     assert (d["delta_count"], d["synapse_count"], d["count_validation"]) == (n, n, "PASSED")
     assert spark.table(f"{db}.DetailTable").count() == 2 * n
+
+
+def test_quality_counters(spark, scratch_dir):
+    db = "lake_" + uuid.uuid4().hex[:8]
+    cfg = _cfg(scratch_dir, db)
+    cfg.warehouse = None
+    cfg.archive_dir = None
+    os.makedirs(cfg.inbox)
+    header = "IDENTIFIER,PRESCRIBER_NPI,NPI Match Status,Provider_Directaddress,Direct Status,Date Message Sent,Date Failed/Confirmed"
+    lines = [
+        "a,1234567890,Found,dm1,Confirmed,01/02/2021 03:04:05 PM,01/02/2021 03:05:05 PM",
+        "b,2345678901,Found,dm1,Confirmed,01/02/2021 03:04:05 pm,junk",
+        "c,,Found,dm2,Failed,garbage,",
+    ]
+    with open(os.path.join(cfg.inbox, "ACME_L1_daily_01022021_1_report.csv"), "w") as fh:
+        fh.write(header + "\n" + "\n".join(lines) + "\n")
+    res = run_load(spark, cfg, window_id="202101020000", run_date="2021-01-02")
+    q = res.quality
+    assert q["rows"] == 3
+    assert q["sent_unparseable"] == 1 and q["confirmed_unparseable"] == 1
+    assert q["lowercase_meridiem"] == 1 and q["npi_beyond_int"] == 1
+    assert q["null_lob"] == 0 and q["null_file_date"] == 0
