@@ -95,12 +95,12 @@ def normalize_detail(raw: DataFrame, window_id: str, wide_npi_column: str | None
 
 
 def quality_metrics() -> list[Column]:
-    """Data-quality counters over raw rows, for ``DataFrame.observe``.
+    """Data-quality counters over raw rows, for ``DataFrame.observe`` (text
+    checks only -- nothing is parsed here; see ``quality_from``).
 
-    * ``sent_unparseable`` / ``confirmed_unparseable``: a text is present but
-      is no timestamp in either layout;
+    * ``sent_present`` / ``confirmed_present``: non-blank timestamp texts;
     * ``lowercase_meridiem``: the text carries a lower-case am/pm and no
-      upper-case one, so it was read as 24-hour (kept for parity);
+      upper-case one, so it is read as 24-hour (kept for parity);
     * ``npi_beyond_int``: an NPI that is a whole number but does not fit INT;
     * ``null_lob`` / ``null_file_date``: the file name gave no line of business
       or no date.
@@ -108,14 +108,14 @@ def quality_metrics() -> list[Column]:
     sent, conf = _raw("Date Message Sent"), _raw("Date Failed/Confirmed")
     npi = _raw("PRESCRIBER_NPI").cast("string")
 
-    def unparseable(c):
-        return c.isNotNull() & (F.trim(c) != "") & parse_report_timestamp(c).isNull()
+    def present(c):
+        return c.isNotNull() & (F.trim(c) != "")
 
     lower = sent.rlike(r"\s[ap]m\b") & ~(sent.contains("AM") | sent.contains("PM"))
     return [
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(unparseable(sent)).alias("sent_unparseable"),
-        F.count_if(unparseable(conf)).alias("confirmed_unparseable"),
+        F.count_if(present(sent)).alias("sent_present"),
+        F.count_if(present(conf)).alias("confirmed_present"),
         F.count_if(lower).alias("lowercase_meridiem"),
         F.count_if(text_to_int(npi).isNull() & text_to_bigint(npi).isNotNull()).alias("npi_beyond_int"),
         F.count_if(_raw("SRC_LOB").isNull()).alias("null_lob"),
@@ -123,6 +123,19 @@ def quality_metrics() -> list[Column]:
     ]
 
 
+def parsed_metrics() -> list[Column]:
+    """Counters over the detail rows: timestamps that parsed."""
+    return [F.count("DT_MSG_SND").alias("sent_parsed"), F.count("DT_ACPT").alias("confirmed_parsed")]
+
+
+def quality_from(raw_counts: dict, parsed_counts: dict) -> dict[str, int]:
+    """Combine the two observations: unparseable = present texts - parsed."""
+    q = {k: int(v) for k, v in raw_counts.items()}
+    q["sent_unparseable"] = q.pop("sent_present") - int(parsed_counts["sent_parsed"])
+    q["confirmed_unparseable"] = q.pop("confirmed_present") - int(parsed_counts["confirmed_parsed"])
+    return q
+
+
 def status_flags(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Per-row flags the summary and alerts count.
 
