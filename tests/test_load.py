@@ -148,3 +148,18 @@ def test_quality_counters(spark, scratch_dir):
     assert q["sent_unparseable"] == 1 and q["confirmed_unparseable"] == 1
     assert q["lowercase_meridiem"] == 1 and q["npi_beyond_int"] == 1
     assert q["null_lob"] == 0 and q["null_file_date"] == 0
+
+
+def test_optimize_write_keeps_rows(spark, scratch_dir):
+    db = "lake_" + uuid.uuid4().hex[:8]
+    cfg = _cfg(scratch_dir, db)
+    cfg.warehouse = None
+    cfg.archive_dir = None
+    cfg.optimize_write = True
+    write_reports(spark, SF, cfg.inbox, ["1995-07"])
+    res = run_load(spark, cfg, window_id="202101070000", run_date="2021-01-07")
+    want = expected_rows(spark, SF, ["1995-07"])
+    assert res.audits[DETAIL_TABLE]["window_inserts"] == want.count()
+    lake = spark.table(f"{db}.DetailTable")
+    expected = normalize_detail(as_older_layout(want), "202101070000").select(*lake.columns)
+    assert lake.exceptAll(expected).count() == 0 and expected.exceptAll(lake).count() == 0
