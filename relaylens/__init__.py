@@ -2,8 +2,9 @@
 
 Public entry points (DataFrame in, DataFrame out unless noted):
 
-* sources: ``read_reports`` (CSV inbox -> raw rows), ``messages`` (rows from
-  the TPC-H-style tables), JDBC helpers in ``relaylens.sources.jdbc``;
+* sources: ``read_reports`` (CSV inbox -> raw rows), ``messages`` and
+  ``event_messages`` (rows from the driver tables), JDBC helpers in
+  ``relaylens.sources.jdbc``;
 * operators: ``normalize_detail``, ``daily_summary``, ``daily_stats``,
   ``low_rate_alerts``, ``render_alerts``, ``audit_row``;
 * plans: ``run_load`` (one complete load), ``backfill``;
@@ -17,6 +18,7 @@ from relaylens.operators.summary import daily_stats, daily_summary, daily_summar
 from relaylens.plans.backfill import backfill
 from relaylens.plans.load import LoadConfig, Warehouse, run_load
 from relaylens.session import build_session
+from relaylens.sources.events import event_messages
 from relaylens.sources.messages import messages
 from relaylens.sources.reports import read_report_paths, read_reports
 from relaylens.streaming.ingest import start_load_stream
@@ -32,6 +34,7 @@ __all__ = [
     "daily_stats",
     "daily_summary",
     "daily_summary_two_branch",
+    "event_messages",
     "low_rate_alerts",
     "messages",
     "normalize_detail",
