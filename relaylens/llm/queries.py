@@ -5,16 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylens.llm import bpe, quality, sharding, warc
+from relaylens.llm import bpe, decontam, minhash, quality, sharding, substring, warc
 from relaylens.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words found in each document."""
+    report = decontam.Contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).report()
+    digest = F.sha2(F.encode(F.concat_ws(",", "item_ids"), "UTF-8"), 256)
+    return report.select(F.col("doc.id").alias("doc_id"), "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality metrics and the verdict of risk-controlled rules per document."""
     out = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier ranked document, or line, already has."""
+    out = substring.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size("removed_spans").cast("long").alias("n_removed"), "removed_spans", "text")
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back."""
     pages = table(spark, sf_dir, "pages")
@@ -34,6 +52,31 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "shard_id", "shard_depth", "shard_bytes", "row_bytes")
 
 
+#: Windows joined to document word positions. Joined words are windows' keys: no word holds a blank.
+OP1_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS ws
+  FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM bw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM win),
+dp AS (
+  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM dw, sizes WHERE len(w) >= k),
+dwin AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS ws FROM dp),
+hit AS (SELECT doc_id, dwin.k, p, item_id FROM dwin JOIN win USING (k, ws)),
+pos AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+        FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 #: Smallest depth at which a row's bucket fits; the directory splits only buckets above the limit.
 OP9_SQL = f"""
 WITH d AS (
@@ -55,12 +98,16 @@ FROM f
 """
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_warc": op4_warc,
+    "op6_minhash": op6_minhash,
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL = {
+    "op1_decontamination": OP1_SQL,
     "op9_sharding": OP9_SQL,
 }
