@@ -207,7 +207,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_c
                     row += (list(struct.unpack(f"<{len(data) // 4}I", data)), decoded)
                 rows.append(row)
             names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
-            out = pd.DataFrame(rows, columns=names)
+            out = pd.DataFrame(rows, columns=names, dtype=object)
             out.insert(0, id_column, batch[id_column].to_numpy())
             yield out
 

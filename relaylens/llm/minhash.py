@@ -151,7 +151,8 @@ def verify(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str,
                 if least and 100 * least >= percent * most:
                     both = n - len(np.unique(np.concatenate((left, right))))
                 keep.append(both > 0 and 100 * both >= percent * (n - both))
-            yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
+            at = np.array(keep, dtype=bool)
+            yield pd.DataFrame({"a": batch["a"].to_numpy(dtype=object)[at], "b": batch["b"].to_numpy(dtype=object)[at]}, dtype=object)
 
     return wide.mapInPandas(run, f"a {kind}, b {kind}").distinct()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylens.llm import bpe, decontam, minhash, quality, sharding, substring, warc
+from relaylens.llm import bpe, decontam, minhash, quality, sharding, substring, toxicity, warc
 from relaylens.llm.common import table
 
 
@@ -28,6 +28,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("removed_spans").cast("long").alias("n_removed"), "removed_spans", "text")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    score = F.col("toxicity").alias("score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score, (F.col("toxicity") >= toxicity.REJECT_AT).cast("int").alias("predicted"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -102,6 +110,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,

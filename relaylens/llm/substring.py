@@ -86,7 +86,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     @F.pandas_udf("string")
     def cut_all(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([t if s is None or t is None else cut(t, list(zip(s, e))) for t, s, e in zip(texts, starts, ends)], dtype=object)
+        return pd.Series([t if s is None else cut(t, list(zip(s, e))) for t, s, e in zip(texts, starts, ends)], dtype=object)
 
     text = cut_all(F.col(text_column), F.col("_spans.start"), F.col("_spans.end"))
     empty = F.array().cast("array<struct<start:int,end:int>>")
