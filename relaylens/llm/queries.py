@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylens.llm import bpe, decontam, minhash, quality, sharding, substring, toxicity, warc
+from relaylens.llm import bpe, ctw, decontam, minhash, quality, sharding, substring, toxicity, warc
 from relaylens.llm.common import table
 
 
@@ -49,6 +49,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and unigram log probabilities of every document."""
+    return ctw.lm_scores(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and the decoded text per document."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
@@ -112,6 +117,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
 }
