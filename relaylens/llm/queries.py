@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylens.llm import bpe, ctw, decontam, minhash, quality, sharding, substring, toxicity, warc
+from relaylens.llm import bpe, ctw, decontam, html, minhash, quality, sharding, substring, toxicity, warc
 from relaylens.llm.common import table
 
 
@@ -65,6 +65,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "shard_id", "shard_depth", "shard_bytes", "row_bytes")
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 #: Windows joined to document word positions. Joined words are windows' keys: no word holds a blank.
 OP1_SQL = r"""
 WITH dw AS (
@@ -120,6 +126,7 @@ QUERIES = {
     "op7_lm_scoring": op7_lm_scoring,
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
+    "op10_html": op10_html,
 }
 
 ORACLE_SQL = {
