@@ -36,7 +36,7 @@ SAMPLE_PAGES = 300
 SAMPLE_CHARS = 50_000
 TREES, TREE_DEPTH, RATE, BINS = 30, 3, 0.3, 32
 #: What a change of label between an element and its parent costs, in log odds.
-SWITCH = 1.0
+SWITCH = 2.0
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|[^<]+|<""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
@@ -282,32 +282,24 @@ def fixed_odds(x: np.ndarray) -> np.ndarray:
 
 
 def decode(page: Page, odds: np.ndarray, own: list[int]) -> list[bool]:
-    """Per element whether its own text is content, in the best labelling without contradictions.
+    """Per element whether its own text is content, in the best labelling of the tree.
 
-    whole[i]: gain if all of i's subtree is content; free[i]: best gain if i's
-    descendants may differ. An element is content as a whole, boilerplate as a whole
-    (gain 0), or mixed: then each child decides, at a cost per child that is content.
+    An element's label holds for all of its subtree, but for descendants that pay
+    ``SWITCH`` to differ, so a stray score can't contradict what stands around it.
+    ``inside[i]`` (``outside[i]``) is the best gain of i's subtree if i is content (is not).
     """
     n = len(own)
-    gain = [float(o) * math.log1p(k) for o, k in zip(np.clip(odds, -6, 6), own)]
-    whole, mixed = gain[:], [max(0.0, g) for g in gain]
-    best = [0.0] * n
-    for i in range(n - 1, -1, -1):
-        best[i] = max(0.0, whole[i], mixed[i])
-        up = page.parents[i]
-        if up >= 0:
-            whole[up] += whole[i]
-            mixed[up] += max(0.0, best[i] - SWITCH)
-    keep, state = [False] * n, [0] * n  # 0: decides for itself, 1: content, 2: boilerplate
-    for i in range(n):
+    if n == 1:
+        return [True]  # bare text
+    inside = [float(o) * math.log1p(k) for o, k in zip(np.clip(odds, -6, 6), own)]
+    outside = [0.0] * n
+    for i in range(n - 1, 0, -1):
         up = page.parents[i]
-        state[i] = state[up] if up >= 0 and state[up] else 0
-        if not state[i]:
-            if best[i] <= (SWITCH if up >= 0 else 0.0):
-                state[i] = 2
-            elif whole[i] >= mixed[i]:
-                state[i] = 1
-        keep[i] = state[i] == 1 or (not state[i] and gain[i] > 0)
+        inside[up] += max(inside[i], outside[i] - SWITCH)
+        outside[up] += max(outside[i], inside[i] - SWITCH)
+    keep = [inside[0] > outside[0]] * n
+    for i in range(1, n):
+        keep[i] = inside[i] >= outside[i] - SWITCH if keep[page.parents[i]] else inside[i] - SWITCH > outside[i]
     return keep
 
 
