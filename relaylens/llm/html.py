@@ -334,9 +334,11 @@ def put_in(markup: str, words: list[str], rng: random.Random) -> str:
     }
     before = [extra[k] for k in ("header", "notice", "ad", "aside") if rng.random() < 0.5]
     after = [extra[k] for k in ("comments", "aside", "form", "ad", "notice") if rng.random() < 0.5]
-    inside = extra["ad"] if rng.random() < 0.4 else ""
     out = re.sub(r"<(article|main)\b", lambda m: "".join(before) + m.group(), markup, count=1)
-    out = re.sub(r"(</p>)(?=.*</(?:article|main)>)", lambda m: m.group() + inside, out, count=1, flags=re.S)
+    start = re.search(r"<(article|main)\b", out).end()
+    places = [m.end() for m in re.finditer("</p>", out[: max(start, out.rfind("</article>"), out.rfind("</main>"))]) if m.start() > start]
+    for at in sorted(rng.sample(places, min(len(places), rng.randint(0, 3))), reverse=True):
+        out = out[:at] + extra[rng.choice(("ad", "ad", "notice", "aside", "form", "comments"))] + out[at:]
     return re.sub(r"</(article|main)>", lambda m: m.group() + "".join(after), out, count=1)
 
 
@@ -410,7 +412,11 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", html_column: str
     """Every row with its main text in ``main_text`` (a column of that name is replaced)."""
     small_batches(pages.sparkSession)
     marked = pages.where(F.length(html_column).between(1, SAMPLE_CHARS) & F.col(html_column).rlike("(?i)<(article|main)[\\s>]"))
-    sample = marked.select(F.xxhash64(id_column, html_column).alias("_h"), F.col(html_column).alias("_html")).orderBy("_h", "_html").limit(sample_pages)
+    n = marked.count()
+    sample = marked.select(F.xxhash64(id_column, html_column).alias("_h"), F.col(html_column).alias("_html"))
+    if n > 4 * sample_pages:  # so that tasks send the driver about twice the sample together
+        sample = sample.where(F.pmod("_h", F.lit(1 << 31)) < int(2 * sample_pages / n * (1 << 31)))
+    sample = sample.orderBy("_h", "_html").limit(sample_pages)
     forest = learn([r["_html"] for r in sample.collect()])  # at most sample_pages rows of at most SAMPLE_CHARS
 
     @F.pandas_udf("string")
