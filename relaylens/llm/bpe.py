@@ -27,10 +27,12 @@ from relaylens.llm.common import small_batches
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Entries of each of a worker's three memos (words, and two generations of blank-separated runs).
-MEMO_WORDS = 200_000
+MEMO_WORDS = 300_000
 #: Characters that str.split() takes for blanks and the vocabulary's pattern doesn't.
 _ODD_BLANKS = regex.compile("[\x1c-\x1f]")
 _RUNS = regex.compile(r"[^\p{White_Space}]+")
+#: ASCII marks: neither letters, digits nor blanks.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _POSITION_BITS = 40
 _POSITION = (1 << _POSITION_BITS) - 1
 
@@ -66,7 +68,7 @@ class WordBPE:
         self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}
         self.young: dict[str, tuple[bytes, str]] = {}
         self.old: dict[str, tuple[bytes, str]] = {}
 
@@ -80,12 +82,8 @@ class WordBPE:
         if n == 1:
             return ids
         rank_of, merged = self.ranks.get, self.merged
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = []
-        for i in range(n - 1):
-            r = rank_of(ids[i] << 32 | ids[i + 1])
-            if r is not None:
-                queue.append(r << _POSITION_BITS | i)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        queue = [r << _POSITION_BITS | i for i, r in enumerate([rank_of(a << 32 | b) for a, b in zip(ids, ids[1:])]) if r is not None]
         heapq.heapify(queue)
         pop, push = heapq.heappop, heapq.heappush
         while queue:
@@ -109,22 +107,31 @@ class WordBPE:
                     push(queue, r << _POSITION_BITS | h)
         return [x for x in ids if x >= 0]
 
-    def _word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
+    def _word(self, word: str) -> tuple[bytes, str]:
+        found = self.words.get(word)
+        if found is None:
             if len(self.words) >= MEMO_WORDS:
                 self.words.clear()
-            ids = self.words[word] = self.merge(word)
-        return ids
+            ids = self.merge(word)
+            strings = self.strings
+            found = self.words[word] = (struct.pack(f"<{len(ids)}I", *ids), " ".join([strings[i] for i in ids]))
+        return found
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         """Packed ids and decoded string of a run without blanks; memoised in two generations of bounded size."""
         found = self.old.get(chunk)
         if found is None:
             # NFC, then each character in lower case by itself (a final sigma is no special case)
-            text = unicodedata_nfc(chunk).replace("Σ", "σ").lower()
-            ids = [i for w in self.pieces.findall(text) for i in self._word(w)]
-            found = (struct.pack(f"<{len(ids)}I", *ids), " ".join([self.strings[i] for i in ids]))
+            text = chunk.lower() if chunk.isascii() else unicodedata_nfc(chunk).replace("Σ", "σ").lower()
+            word = text.rstrip(_MARKS)
+            if word.isalpha():  # letters and then, perhaps, marks: what the pattern finds in most runs
+                found = self._word(word)
+                if len(word) < len(text):
+                    tail = self._word(text[len(word) :])
+                    found = (found[0] + tail[0], f"{found[1]} {tail[1]}")
+            else:
+                parts = [self._word(w) for w in self.pieces.findall(text)]
+                found = (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
         if len(self.young) >= MEMO_WORDS:
             self.old, self.young = self.young, {}
         self.young[chunk] = found
