@@ -70,6 +70,7 @@ def repeated_units(units: DataFrame) -> DataFrame:
     """The units that go: all occurrences of a digest but the first ranked."""
     rank = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("start").alias("start"))
     firsts = units.groupBy("digest").agg(F.min(rank).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    firsts = saved(firsts, "substring-firsts")  # so that the join has two plain exchanges and its hot keys can be split
     return units.join(firsts, "digest").where(~rank.eqNullSafe(F.col("_first"))).drop("_first")
 
 
