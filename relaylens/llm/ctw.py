@@ -211,7 +211,7 @@ def wanted_keys(texts: list[bytes], hashes: WordHashes, depth: int) -> tuple[np.
 
 
 def _places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key among the sorted known keys, which hold them all, by a table of hashed slots."""
+    """Index of each key among the sorted known keys, some other index where it isn't one, by a table of hashed slots."""
     bits = max(10, int(len(known) * 4).bit_length())
     shift, gold = np.uint64(64 - bits), np.uint64(0x9E3779B97F4A7C15)
     slots = ((known * gold) >> shift).astype(np.int64)
@@ -220,7 +220,7 @@ def _places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = table[((keys * gold) >> shift).astype(np.int64)]
     miss = np.flatnonzero(known[at] != keys)
     if len(miss):
-        at[miss] = np.searchsorted(known, keys[miss])
+        at[miss] = np.minimum(np.searchsorted(known, keys[miss]), len(known) - 1)
     return at
 
 
@@ -270,6 +270,7 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     answers = asked.join(known, ["kind", "key"]).select("block", "kind", "key", "value")
 
     base = math.log10(n_train + 0.5 * (vocabulary + 1))
+    rest = math.log10(0.5) - base  # of a token that the training part lacks
     fields = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
 
     def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
@@ -283,17 +284,23 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         if len(gram_keys):
             per_byte = gram_values[_places(gram_keys, grams(data, depth).astype(np.uint64))]
             out_score = np.add.reduceat(per_byte, np.concatenate(([0], np.cumsum(n_bytes + 1)[:-1])))
-        token = dict(zip(key[~own].tolist(), value[~own].tolist()))
-        logs = {k: math.log10(c + 0.5) - base for k, c in token.items()}
-        rest = math.log10(0.5) - base
-        hashes = WordHashes()
-        n_tokens, n_known, base_score = [], [], []
+        order = np.argsort(key[~own])
+        token_keys, logs = key[~own][order], np.log10(value[~own][order] + 0.5) - base
+        hashes, lengths, tokens = WordHashes(), [], []
         for t in data:
             h = token_hashes(t, hashes)
-            got = [logs[x] for x in h if x in logs]
-            n_tokens.append(len(h))
-            n_known.append(len(got))
-            base_score.append(math.fsum(got) + (len(h) - len(got)) * rest)
+            lengths.append(len(h))
+            tokens.append(np.array(h, dtype=np.uint64))
+        n_tokens = np.array(lengths, dtype=np.int64)
+        starts = np.concatenate(([0], np.cumsum(n_tokens)[:-1]))
+        per_token, known = np.full(int(n_tokens.sum()), rest), np.zeros(int(n_tokens.sum()), dtype=np.int64)
+        if len(token_keys):
+            flat = np.concatenate(tokens)
+            at = _places(token_keys, flat)
+            hit = token_keys[at] == flat
+            per_token[hit] = logs[at[hit]]
+            known[hit] = 1
+        base_score, n_known = np.add.reduceat(per_token, starts), np.add.reduceat(known, starts)
         frame = pd.DataFrame({"_id": texts["_id"], "held_out": texts["held_out"], "n_tokens": n_tokens, "n_known": n_known})
         frame["train_tokens"], frame["base_score"], frame["score"], frame["n_bytes"] = n_train, base_score, out_score, n_bytes
         frame["bits_per_byte"] = -out_score * math.log2(10) / (n_bytes + 1)
