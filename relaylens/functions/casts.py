@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_FRACTION_ONLY = r"^\s*[+-]?\.\d*\s*$"
 _INTEGER_TEXT = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
 
 
@@ -23,7 +24,9 @@ def _text_to_integral(c, type_name: str) -> Column:
     # Fast path: a plain integer text casts directly (no regular expression);
     # only texts it rejects (a fraction, junk, out of range) take the pattern.
     c = _col(c)
-    return F.coalesce(c.try_cast(type_name), F.regexp_extract(c, _INTEGER_TEXT, 1).try_cast(type_name))
+    whole = F.regexp_extract(c, _INTEGER_TEXT, 1).try_cast(type_name)
+    # ".5", "+.5" and "." have no whole part, which counts as 0
+    return F.coalesce(c.try_cast(type_name), whole, F.when(c.rlike(_FRACTION_ONLY), F.lit(0).cast(type_name)))
 
 
 def text_to_int(c) -> Column:

@@ -23,12 +23,21 @@ def insert_by_name(df: DataFrame, qualified: str, overwrite: bool = False) -> No
     ``insertInto`` is positional and catalog tables move partition columns to
     the end, so resolving by name first is what keeps data in its column.
     """
-    target = df.sparkSession.table(qualified).columns
+    spark = df.sparkSession
+    target = spark.table(qualified).columns
     ordered = df.select(*[F.col(f"`{c}`") for c in target])
-    writer = ordered.write
-    if overwrite:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(qualified, overwrite=overwrite)
+    if not overwrite:
+        ordered.write.insertInto(qualified)
+        return
+    # insertInto takes the overwrite mode of a catalog table from the session
+    # only, so it is set for this write whatever session the caller has.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        ordered.write.insertInto(qualified, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_window(df: DataFrame, qualified: str, optimize_write: bool = False) -> int:

@@ -53,11 +53,6 @@ def batch_window_id(files: DataFrame, batch_id: int) -> str:
     return f"{stamp or '000000000000'}-{batch_id}"
 
 
-# Files per micro-batch unless the caller says otherwise: the batch step holds
-# one path per file, so a large backlog drains as several bounded loads.
-DEFAULT_MAX_FILES_PER_TRIGGER = 10000
-
-
 def start_ingest(
     spark: SparkSession,
     inbox: str,
@@ -65,13 +60,14 @@ def start_ingest(
     process: Callable[[SparkSession, list[str], str, int], object],
     pattern: str = REPORT_GLOB,
     archive_dir: str | None = None,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``process(spark, paths, window_id, batch_id)`` runs per batch.
 
-    ``available_now`` (default) drains what is there and stops -- the
+    Without ``max_files_per_trigger`` a backlog is one batch, so summary and
+    alerts see it whole, as a batch load does. ``available_now`` (default) drains what is there and stops -- the
     scheduled-job form of the original; ``processing_time`` keeps it running.
     """
     files = report_file_stream(spark, inbox, pattern, archive_dir, max_files_per_trigger)
