@@ -40,6 +40,8 @@ ERROR = 1e-3
 MIN_STEM, MAX_STEM = 4, 8
 #: A stem is one only if so many words have it and none makes up half of them.
 STEM_WORDS = 5
+#: Toxic texts to each clean one that an entry needs at least.
+PURE = 8
 #: Word lengths from which one and two edits are forgiven.
 ONE_EDIT, TWO_EDITS = 5, 9
 #: Trust in a misspelt match before evidence, and the evidence that this stands for.
@@ -231,17 +233,18 @@ def surely_above(k: int, n: int, base: float, tries: float) -> bool:
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, clean): texts of each class that have the word, copies once. ``sample``: (_text, _toxic)."""
+    """(word, toxic, clean): texts of each class that have the word; copies of a toxic text count once, so that one
+    text's copies prove nothing, those of a clean one each. ``sample``: (_row bigint, _text, _toxic)."""
     small_batches(sample.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, toxic in zip(batch["_text"], batch["_toxic"]):
+            for row, text, toxic in zip(batch["_row"], batch["_text"], batch["_toxic"]):
                 words = set(_WORD.findall(text.lower()))
                 if words:
                     # copies and near copies mostly share the least hash of their words
-                    sign = min(xxhash.xxh3_64_intdigest(w) for w in words) - (1 << 63)
+                    sign = min(xxhash.xxh3_64_intdigest(w) for w in words) - (1 << 63) if toxic else row
                     rows += [(w, sign, toxic) for w in words]
             yield pd.DataFrame(rows, columns=["word", "sign", "toxic"], dtype=object)
 
@@ -256,7 +259,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
         cut = int(sample_rows / n * (1 << 31))
         labelled = labelled.where(F.pmod(F.xxhash64("_key"), F.lit(1 << 31)) < cut)
     labelled = saved(labelled, "toxic-sample")
-    counts = saved(word_counts(labelled.select("_text", "_toxic")), "toxic-words")
+    counts = saved(word_counts(labelled.select(F.xxhash64("_key").alias("_row"), "_text", "_toxic")), "toxic-words")
     total = labelled.groupBy("_toxic").agg(F.count("*").alias("n")).collect()  # two rows
     size = {r["_toxic"]: r["n"] for r in total}
     toxic_n, all_n = size.get(1, 0), sum(size.values())
@@ -270,7 +273,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
     least = math.log(1 / ERROR) / -math.log(base)  # fewer texts than this prove nothing
     tries = counts.count() * 2.0
     named = counts.withColumn("stem", F.lit(False)).unionByName(stems.withColumn("stem", F.lit(True)))
-    good = named.where((F.col("toxic") >= least) & (F.col("toxic") >= 8 * F.col("clean")))
+    good = named.where((F.col("toxic") >= least) & (F.col("toxic") >= PURE * F.col("clean")))
     rows = good.orderBy(F.desc("toxic"), "word", "stem").limit(LEXICON_ENTRIES).collect()
     rows = [r for r in rows if surely_above(r["toxic"], r["toxic"] + r["clean"], base, tries)]
     terms: dict[str, bool] = {}
