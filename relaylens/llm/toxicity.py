@@ -10,8 +10,10 @@ distance can be trusted is measured on all words of the sample.
 
 Scoring: each hit's trust is scaled by its context: a window of words around it
 that quotes or reports (quotation marks around it, reporting verbs, words about
-words) lowers it, address (second person) or further hits raise it. The score is
-the chance that not all hits are false, 1 - prod(1 - trust).
+words) lowers it, address (second person) or further hits raise it. The chance that
+not all hits are false, 1 - prod(1 - trust), is weighed against the number of hits
+and the text's length by a logistic fit on the sample's texts that have hits, held
+near "no change" by a prior: one hit in a long text may be chance, several aren't.
 
 Defined results: a null or empty text scores the ``FLOOR``; labels that are null
 are not learned from; repeated rows score alike; without toxic labels the lexicon is
@@ -25,6 +27,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -41,7 +44,7 @@ MIN_STEM, MAX_STEM = 4, 8
 #: A stem is one only if so many words have it and none makes up half of them.
 STEM_WORDS = 5
 #: Toxic texts to each clean one that an entry needs at least.
-PURE = 8
+PURE = 4
 #: Word lengths from which one and two edits are forgiven.
 ONE_EDIT, TWO_EDITS = 5, 9
 #: Trust in a misspelt match before evidence, and the evidence that this stands for.
@@ -145,12 +148,17 @@ def matches(word: str, trie: Trie) -> tuple[str, int] | None:
     return best
 
 
+#: Weights of (1, log odds of the hits, ln(1 + hits), ln(1 + words)) that leave the odds as they are.
+NO_CHANGE = (0.0, 1.0, 0.0, 0.0)
+
+
 @dataclass
 class Lexicon:
     """Terms with their trust; ``trust`` maps (term, edits) to the chance that a hit is real."""
 
     terms: dict[str, bool]
     trust: dict[tuple[str, int], float]
+    weights: tuple[float, ...] = NO_CHANGE
 
     def trie(self) -> Trie:
         root = Trie()
@@ -161,7 +169,7 @@ class Lexicon:
 
 class Scorer:
     def __init__(self, lexicon: Lexicon):
-        self.trust, self.root = lexicon.trust, lexicon.trie()
+        self.trust, self.root, self.weights = lexicon.trust, lexicon.trie(), lexicon.weights
         self.memo: dict[str, float] = {}
 
     def word(self, w: str) -> float:
@@ -173,6 +181,13 @@ class Scorer:
         return got
 
     def score(self, text: str) -> float:
+        found = self.evidence(text)
+        if found is None:
+            return FLOOR
+        return max(FLOOR, 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w * x for w, x in zip(self.weights, found)))))))
+
+    def evidence(self, text: str) -> tuple[float, ...] | None:
+        """(1, log odds of the hits, ln(1 + hits), ln(1 + words)); None without hits."""
         low = text.lower()
         get, word = self.memo.get, self.word
         hot = {}
@@ -183,7 +198,7 @@ class Scorer:
             if t:
                 hot[w] = t
         if not hot:
-            return FLOOR
+            return None
         spans = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(low)]
         quoted = quoted_spans(low)
         miss = 1.0 - FLOOR
@@ -191,7 +206,8 @@ class Scorer:
         for i in hits:
             window = [s[2] for s in spans[max(0, i - CONTEXT_WORDS) : i + CONTEXT_WORDS + 1]]
             miss *= 1.0 - hot[spans[i][2]] * context_weight(window, hot, inside(spans[i], quoted))
-        return min(1.0, 1.0 - miss)
+        miss = max(miss, 1e-6)
+        return 1.0, math.log((1 - miss) / miss), math.log1p(len(hits)), math.log1p(len(spans))
 
 
 def quoted_spans(text: str) -> list[tuple[int, int]]:
@@ -298,9 +314,45 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
             for edits in range(edits_allowed(len(term)) + 1):
                 t, c = known.get((term, edits), (0, 0))
                 lexicon.trust[term, edits] = (t + PRIOR_WEIGHT * PRIOR_TRUST) / (t + c + PRIOR_WEIGHT)
+        lexicon.weights = calibrate(labelled, lexicon)
     return lexicon
 
 
+def calibrate(labelled: DataFrame, lexicon: Lexicon, prior: float = 2.0) -> tuple[float, ...]:
+    """Logistic weights of the evidence, by Newton steps, with a Gaussian prior around ``NO_CHANGE``.
+
+    Fitted on the sample's texts that have hits; at most ``SAMPLE_ROWS`` rows of four numbers reach the driver.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(lexicon)
+        for batch in batches:
+            rows = [(*e, float(y)) for t, y in zip(batch["_text"], batch["_toxic"]) if (e := scorer.evidence(t))]
+            yield pd.DataFrame(rows, columns=["one", "odds", "hits", "words", "y"], dtype=float)
+
+    found = labelled.select("_text", "_toxic").mapInPandas(run, "one double, odds double, hits double, words double, y double").toPandas()
+    start = np.array(NO_CHANGE)
+    if found.empty:
+        return NO_CHANGE
+    x, y, w = found[["one", "odds", "hits", "words"]].to_numpy(), found["y"].to_numpy(), start.copy()
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + prior / 2 * ((w - start) ** 2).sum())
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (y - p) - prior * (w - start)
+        bend = (x * (p * (1 - p))[:, None]).T @ x + prior * np.eye(4)
+        step, size = np.linalg.solve(bend, slope), 1.0
+        while size > 1e-4 and loss(w + size * step) > loss(w):
+            size /= 2  # a whole step may go too far
+        if size <= 1e-4 or np.abs(size * step).max() < 1e-9:
+            break
+        w = w + size * step
+    return tuple(float(v) for v in w)
+
+
 def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
