@@ -141,12 +141,13 @@ def test_lm(odd_docs, no_docs):
     assert ctw.lm_scores(no_docs).count() == 0
 
 
-def test_ctw_equals_the_recursion(spark):
+@pytest.mark.parametrize("depth", [1, 2, 5, 7])
+def test_ctw_equals_the_recursion(spark, depth):
     """Scores of a short text against a direct evaluation of the weighting."""
     import math
     from collections import defaultdict
 
-    depth, train, text = 2, [b"abracadabra", b"abc"], b"abda"
+    train, text = [b"abracadabra", b"abc"], b"abda"
     counts = defaultdict(lambda: [0, 0])
     for t in train:
         data = b"\0" * depth + t + b"\xff"
