@@ -25,7 +25,7 @@ no counts (each bit 1/2, N = 0); extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,11 +41,11 @@ DEPTH = 5
 #: Bytes of text in one scoring block, about.
 BLOCK_BYTES = 32 * 1024 * 1024
 #: Bytes of text, or of counted n-grams, worked on at a time.
-CHUNK_BYTES = 4 * 1024 * 1024
+CHUNK_BYTES = 1024 * 1024
 #: Subtrees of contexts of so many bytes are whole in one task.
 SPLIT = 2
 #: Words whose hashes a worker remembers.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
 #: Ends each text; no UTF-8 text holds it. Zero bytes stand before each text.
 END_BYTE = b"\xff"
 #: Key of the end token; no word is empty.
@@ -113,7 +113,7 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+def chunks(texts: Iterable[bytes], size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
     """Runs of whole texts of about ``size`` bytes."""
     part, held = [], 0
     for t in texts:
@@ -134,6 +134,7 @@ class BlockKeys:
         self.waiting: dict[bool, list[bytes]] = {False: [], True: []}
         self.bytes = {False: 0, True: 0}
         self.found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {_NGRAM: [], _TOKEN: []}
+        self.merged = {_NGRAM: 0, _TOKEN: 0}
 
     def add(self, text: bytes, held: bool) -> None:
         self.waiting[held].append(text)
@@ -149,13 +150,21 @@ class BlockKeys:
         for kind, keys in ((_NGRAM, grams(texts, self.depth)), (_TOKEN, np.array(tokens, dtype=np.uint64))):
             distinct, n = _counted(keys)
             self.found[kind].append((distinct, np.zeros_like(n) if held else n))
+            if sum(len(p[0]) for p in self.found[kind]) > 2 * self.merged[kind] + 500_000:
+                self.merge(kind)
+
+    def merge(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        parts = self.found[kind]
+        keys, n = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        self.found[kind], self.merged[kind] = [(keys, n)], len(keys)
+        return keys, n
 
     def result(self, block: int) -> pa.RecordBatch:
         for held in (False, True):
             self.count(held)
         kinds, keys, ns = [], [], []
-        for kind, parts in self.found.items():
-            k, n = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        for kind in self.found:
+            k, n = self.merge(kind)
             kinds.append(np.full(len(k), kind, dtype=np.int32))
             keys.append(k)
             ns.append(n)
@@ -396,7 +405,7 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         logs = np.log10(per_known + 0.5) - base
         gram_places, token_places, hashes = Places(gram_keys), Places(token_keys), WordHashes()
         out: list[tuple[np.ndarray, ...]] = []
-        for data in chunks([t.encode("utf-8") for t in texts["_text"]]):
+        for data in chunks(t.encode("utf-8") for t in texts["_text"]):
             n_bytes = np.array([len(t) for t in data], dtype=np.int64)
             per_byte = per_gram[gram_places.of(grams(data, depth).astype(np.uint64))]
             scores = np.add.reduceat(per_byte, np.concatenate(([0], np.cumsum(n_bytes + 1)[:-1])))
