@@ -24,6 +24,7 @@ no counts (each bit 1/2, N = 0); extra columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterable, Iterator
 
@@ -45,7 +46,7 @@ CHUNK_BYTES = 1024 * 1024
 #: Subtrees of contexts of so many bytes are whole in one task.
 SPLIT = 2
 #: Words whose hashes a worker remembers.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 #: Ends each text; no UTF-8 text holds it. Zero bytes stand before each text.
 END_BYTE = b"\xff"
 #: Key of the end token; no word is empty.
@@ -126,6 +127,14 @@ def chunks(texts: Iterable[bytes], size: int = CHUNK_BYTES) -> Iterator[list[byt
         yield part
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, and the next block may run in another one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 class BlockKeys:
     """Distinct n-grams and tokens of a block's texts, with the times its training texts have them."""
 
@@ -364,7 +373,7 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), n_bytes, bits_per_byte."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"), held_out(F.col(id_column)).alias("held_out"))
+    rows = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_text"), held_out(F.col(id_column)).alias("held_out"))
     kind = rows.schema["_id"].dataType.simpleString()
 
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b")).first()["b"]
@@ -379,10 +388,13 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
                 if b != now:
                     if keys is not None:
                         yield keys.result(now)
+                        give_back()
                     now, keys = b, BlockKeys(depth, hashes)
-                keys.add(text.encode("utf-8"), held)
+                keys.add(text, held)
         if keys is not None:
             yield keys.result(now)
+        del keys, hashes
+        give_back()
 
     dealt = placed.repartition(blocks, "block").sortWithinPartitions("block")
     asked = saved(dealt.select("block", "_text", "held_out").mapInArrow(ask, "block int, kind int, key bigint, n bigint"), "lm-asked")
@@ -405,7 +417,7 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         logs = np.log10(per_known + 0.5) - base
         gram_places, token_places, hashes = Places(gram_keys), Places(token_keys), WordHashes()
         out: list[tuple[np.ndarray, ...]] = []
-        for data in chunks(t.encode("utf-8") for t in texts["_text"]):
+        for data in chunks(texts["_text"]):
             n_bytes = np.array([len(t) for t in data], dtype=np.int64)
             per_byte = per_gram[gram_places.of(grams(data, depth).astype(np.uint64))]
             scores = np.add.reduceat(per_byte, np.concatenate(([0], np.cumsum(n_bytes + 1)[:-1])))
@@ -424,6 +436,8 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
                 is_known[hit] = 1
             out.append((n_tokens, np.add.reduceat(is_known, starts), np.add.reduceat(per_token, starts), scores, n_bytes))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0)] * 5
+        del gram_keys, per_gram, gram_places, token_keys, per_known, token_places, hashes, out
+        give_back()
         frame = pd.DataFrame({"_id": texts["_id"], "held_out": texts["held_out"], "n_tokens": columns[0], "n_known": columns[1]})
         frame["train_tokens"], frame["base_score"], frame["score"], frame["n_bytes"] = n_train, columns[2], columns[3], columns[4]
         frame["bits_per_byte"] = -columns[3] * math.log2(10) / (columns[4] + 1)
