@@ -248,20 +248,24 @@ def surely_above(k: int, n: int, base: float, tries: float) -> bool:
     return n * kl > math.log(max(tries, 1) / ERROR)
 
 
+def copy_sign(words: set[str]) -> int:
+    """A bigint that copies and near copies mostly share: the least hash of their words."""
+    return min(xxhash.xxh3_64_intdigest(w) for w in words) - (1 << 63)
+
+
 def word_counts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, clean): texts of each class that have the word; copies of a toxic text count once, so that one
-    text's copies prove nothing, those of a clean one each. ``sample``: (_row bigint, _text, _toxic)."""
+    """(word, toxic, clean): texts of each class that have the word, copies of a text once in either class, so that one
+    text's copies prove nothing for a word or against it; the word "" counts all texts with words. ``sample``: (_text, _toxic)."""
     small_batches(sample.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for row, text, toxic in zip(batch["_row"], batch["_text"], batch["_toxic"]):
+            for text, toxic in zip(batch["_text"], batch["_toxic"]):
                 words = set(_WORD.findall(text.lower()))
                 if words:
-                    # copies and near copies mostly share the least hash of their words
-                    sign = min(xxhash.xxh3_64_intdigest(w) for w in words) - (1 << 63) if toxic else row
-                    rows += [(w, sign, toxic) for w in words]
+                    sign = copy_sign(words)
+                    rows += [(w, sign, toxic) for w in words | {""}]
             yield pd.DataFrame(rows, columns=["word", "sign", "toxic"], dtype=object)
 
     seen = sample.mapInPandas(run, "word string, sign bigint, toxic int").distinct()
@@ -275,10 +279,10 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
         cut = int(sample_rows / n * (1 << 31))
         labelled = labelled.where(F.pmod(F.xxhash64("_key"), F.lit(1 << 31)) < cut)
     labelled = saved(labelled, "toxic-sample")
-    counts = saved(word_counts(labelled.select(F.xxhash64("_key").alias("_row"), "_text", "_toxic")), "toxic-words")
-    total = labelled.groupBy("_toxic").agg(F.count("*").alias("n")).collect()  # two rows
-    size = {r["_toxic"]: r["n"] for r in total}
-    toxic_n, all_n = size.get(1, 0), sum(size.values())
+    counts = saved(word_counts(labelled.select("_text", "_toxic")), "toxic-words")
+    total = counts.where("word = ''").first()
+    counts = counts.where("word != ''")
+    toxic_n, all_n = (total["toxic"], total["toxic"] + total["clean"]) if total else (0, 0)
     if not toxic_n or toxic_n == all_n:
         return Lexicon({}, {})
     base = toxic_n / all_n
@@ -321,29 +325,31 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
 def calibrate(labelled: DataFrame, lexicon: Lexicon, prior: float = 2.0) -> tuple[float, ...]:
     """Logistic weights of the evidence, by Newton steps, with a Gaussian prior around ``NO_CHANGE``.
 
-    Fitted on the sample's texts that have hits; at most ``SAMPLE_ROWS`` rows of four numbers reach the driver.
+    Fitted on the sample's texts that have hits, where copies share the weight of one text; at most ``SAMPLE_ROWS``
+    rows of six numbers reach the driver.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(lexicon)
         for batch in batches:
-            rows = [(*e, float(y)) for t, y in zip(batch["_text"], batch["_toxic"]) if (e := scorer.evidence(t))]
-            yield pd.DataFrame(rows, columns=["one", "odds", "hits", "words", "y"], dtype=float)
+            rows = [(copy_sign(set(_WORD.findall(t.lower()))), *e, float(y)) for t, y in zip(batch["_text"], batch["_toxic"]) if (e := scorer.evidence(t))]
+            yield pd.DataFrame(rows, columns=["sign", "one", "odds", "hits", "words", "y"])
 
-    found = labelled.select("_text", "_toxic").mapInPandas(run, "one double, odds double, hits double, words double, y double").toPandas()
+    found = labelled.select("_text", "_toxic").mapInPandas(run, "sign bigint, one double, odds double, hits double, words double, y double").toPandas()
     start = np.array(NO_CHANGE)
     if found.empty:
         return NO_CHANGE
     x, y, w = found[["one", "odds", "hits", "words"]].to_numpy(), found["y"].to_numpy(), start.copy()
+    share = 1 / found.groupby(["sign", "y"])["one"].transform("size").to_numpy()
 
     def loss(w: np.ndarray) -> float:
         z = x @ w
-        return float((np.logaddexp(0, z) - y * z).sum() + prior / 2 * ((w - start) ** 2).sum())
+        return float((share * (np.logaddexp(0, z) - y * z)).sum() + prior / 2 * ((w - start) ** 2).sum())
 
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - prior * (w - start)
-        bend = (x * (p * (1 - p))[:, None]).T @ x + prior * np.eye(4)
+        slope = x.T @ (share * (y - p)) - prior * (w - start)
+        bend = (x * (share * p * (1 - p))[:, None]).T @ x + prior * np.eye(4)
         step, size = np.linalg.solve(bend, slope), 1.0
         while size > 1e-4 and loss(w + size * step) > loss(w):
             size /= 2  # a whole step may go too far

@@ -84,6 +84,19 @@ def test_toxicity(odd_docs, no_docs, labels):
     assert score('he wrote "idiot" there') < 0.3 and score("patriot") == score("") == toxicity.FLOOR
 
 
+def test_toxicity_copies_of_a_clean_text_count_once(spark):
+    rng = random.Random(4)
+    say = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(12))
+    rows = [(i, f"{say()} grobian {say()}", 1) for i in range(300)] + [(i, f"{say()} {say()}", 0) for i in range(300, 1500)]
+    quoting = f'an old essay says "grobian" {say()}'
+    rows += [(i, quoting, 0) for i in range(1500, 6500)] + [(9000, "such a grobian here", None)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    marks = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, marks).where("doc_id IN (9000, 6499)")
+    score = {r["doc_id"]: r["toxicity"] for r in got.collect()}
+    assert score[9000] >= toxicity.REJECT_AT > score[6499]
+
+
 def test_automaton_equals_edit_distance():
     rng = random.Random(5)
 
