@@ -1,7 +1,7 @@
 """Removal of lines (or paragraphs) that repeat anywhere in the corpus.
 
 Units are normalised (lower case, one blank for white space, trimmed) and hashed
-to 128 bits. Per digest the occurrence that ranks first by (id, offset) stays; all
+to 128 bits. Per digest the occurrence that ranks first by (id, text hash, offset) stays; all
 others are cut, with their offsets in the original text (code points) recorded.
 Digests are counted with map-side sums, and only those that occur more than once
 meet the units again, in a plain equi-join whose hot keys adaptive execution splits.
@@ -68,7 +68,7 @@ def hash_units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 def repeated_units(units: DataFrame) -> DataFrame:
     """The units that go: all occurrences of a digest but the first ranked."""
-    rank = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("start").alias("start"))
+    rank = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("start").alias("start"))
     firsts = units.groupBy("digest").agg(F.min(rank).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     firsts = saved(firsts, "substring-firsts")  # so that the join has two plain exchanges and its hot keys can be split
     return units.join(firsts, "digest").where(~rank.eqNullSafe(F.col("_first"))).drop("_first")

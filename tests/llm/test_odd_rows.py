@@ -56,6 +56,13 @@ def test_substring(odd_docs, no_docs, spark):
     assert got == {1: (line, [(28, 55)]), 2: ("x\ny", [(2, 29)]), None: ("", [(0, 27)])}
 
 
+def test_substring_rows_without_id_share_a_first_line(spark):
+    line = "one two three four five six"
+    docs = spark.createDataFrame([(None, f"{line}\nx"), (None, f"{line}\ny"), (5, f"{line[:13]} alone here again\nz"), (5, f"{line[:13]} alone here again\nw")], "doc_id long, text string")
+    texts = sorted(r["text"] for r in substring.deduplicate(docs).collect())
+    assert sum(line in t for t in texts) == sum("alone" in t for t in texts) == 1
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/?q=é\r\n%41", "<p>é</p>"), (2, None, "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "u", ""), (None, "u", "z" * 3_000_000)], "page_id long, url string, html string")
     archives = warc.write_archives(pages, warc.scratch_path(spark, "warc-test"), archive_bytes=500)
