@@ -30,8 +30,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand earlier in the corpus; n_chars follows the text."""
-    out = substring.deduplicate(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Documents without lines, and passages within lines, that stand earlier in the corpus; n_chars follows the text."""
+    lines = saved(substring.deduplicate(docs.select(*COLUMNS)).select(*COLUMNS), "substring-lines")
+    out = substring.cut_passages(lines).withColumn("n_chars", F.char_length("text").cast("long"))
     return out.select(*COLUMNS)
 
 

@@ -6,6 +6,9 @@ others are cut, with their offsets in the original text (code points) recorded.
 Digests are counted with map-side sums, and only those that occur more than once
 meet the units again, in a plain equi-join whose hot keys adaptive execution splits.
 
+``cut_passages`` does the same for 50 consecutive words wherever they stand in
+lines. Anchors (least hashes of windows of 25-word runs) find those that may recur.
+
 Defined results: units of fewer than ``min_words`` words always stay; null and
 empty texts have no units (a null text stays null); a null id ranks after all
 others; rows that share id and text are the same document and lose the same units;
@@ -18,7 +21,9 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +33,10 @@ from relaylens.llm.common import saved, small_batches
 MIN_WORDS = 5
 _SPLIT = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n](?:[^\n]|\n(?![ \t\r]*\n))*")}
 
+#: Words of a passage that ``cut_passages`` leaves only once.
+PASSAGE_WORDS = 50
+_WORD = re.compile(r"\S+")
+
 
 def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, digest) of each unit of enough words."""
@@ -38,11 +47,11 @@ def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> Itera
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without the spans; a span takes the line end that follows it (or, at the end, the one before it)."""
+    """The text without the spans; a span from the start of a line takes the line end that follows it (or, at the end, the one before it)."""
     out, at = [], 0
     for start, end in sorted(spans):
         out.append(text[at:start])
-        at = end + (text[end : end + 1] == "\n")
+        at = end + (text[end : end + 1] == "\n" and (not start or text[start - 1] == "\n"))
     out.append(text[at:])
     left = "".join(out)
     return left[:-1] if at >= len(text) and left.endswith("\n") and not text.endswith("\n") else left
@@ -79,7 +88,29 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     spark = docs.sparkSession
     small_batches(spark)
     units = saved(hash_units(docs, id_column, text_column, unit, min_words), "substring-units")
-    gone = repeated_units(units).groupBy("_id", "_h").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    return without(docs, repeated_units(units), id_column, text_column)
+
+
+def joined_spans(spans: Iterator[tuple[int, int]]) -> list[dict[str, int]]:
+    """Sorted spans, those that overlap as one."""
+    out: list[dict[str, int]] = []
+    for s, e in spans:
+        if out and s < out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], int(e))
+        else:
+            out.append({"start": int(s), "end": int(e)})
+    return out
+
+
+def without(docs: DataFrame, units: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Rows with the units cut from the text, and ``removed_spans``, which don't overlap."""
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def merged(starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([joined_spans(zip(s, e)) for s, e in zip(starts, ends)], dtype=object)
+
+    gone = units.groupBy("_id", "_h").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    gone = gone.withColumn("_spans", merged(F.col("_spans.start"), F.col("_spans.end")))
     gone = gone.withColumnRenamed("_id", "_gone_id").withColumnRenamed("_h", "_gone_h")
     kept = [c for c in docs.columns if c != "removed_spans"]
     rows = docs.select(*kept).withColumn("_h", F.xxhash64(text_column))
@@ -92,3 +123,73 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text = cut_all(F.col(text_column), F.col("_spans.start"), F.col("_spans.end"))
     empty = F.array().cast("array<struct<start:int,end:int>>")
     return joined.withColumn(text_column, text).withColumn("removed_spans", F.coalesce("_spans", empty)).select(*kept, "removed_spans")
+
+
+def word_hashes(text: str, k: int) -> tuple[list[str], list[tuple[int, int]], np.ndarray]:
+    """(words in lower case, their places, a 64-bit hash of the k words from each place)."""
+    found = [(m.group().lower(), m.span()) for m in _WORD.finditer(text)]
+    n = len(found) - k + 1
+    if n < 1:
+        return [], [], np.empty(0, np.uint64)
+    one, hashes = np.array([xxhash.xxh3_64_intdigest(w) for w, _ in found], np.uint64), np.zeros(n, np.uint64)
+    for j in range(k):
+        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + one[j : j + n]
+    return [w for w, _ in found], [p for _, p in found], hashes ^ hashes >> np.uint64(29)
+
+
+def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places that have the least hash of some ``window`` places in a row: equal passages have equal anchors."""
+    if len(hashes) < window:
+        return np.empty(0, int)
+    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
+    return np.unique(views.argmin(axis=1) + np.arange(len(views)))
+
+
+def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = PASSAGE_WORDS) -> DataFrame:
+    """(_id, _h, digest, start, end) of every ``words`` consecutive words that an earlier ranked place has too.
+
+    Each such passage holds an anchor of ``words // 2`` words; only passages around anchors that recur are hashed.
+    """
+    small_batches(docs.sparkSession)
+    k = max(1, words // 2)
+    window = words - k + 1
+    source = docs.select(F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_h"), F.col(text_column).alias("_text")).where("_text IS NOT NULL")
+    kind = source.schema["_id"].dataType.simpleString()
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, out = [], [np.empty(0, np.uint64)]
+            for i, text in enumerate(batch["_text"]):
+                hashes = word_hashes(text, k)[2]
+                out.append(hashes[anchors(hashes, window)])
+                rows += [i] * len(out[-1])
+            own = batch[["_id", "_h"]].iloc[rows].reset_index(drop=True)
+            yield own.assign(anchor=np.concatenate(out).view(np.int64))
+
+    def passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, out = [], []
+            for i, (text, known) in enumerate(zip(batch["_text"], batch["_anchors"])):
+                low, places, hashes = word_hashes(text, k)
+                at = anchors(hashes, window)
+                at = at[np.isin(hashes[at].view(np.int64), np.asarray(known, np.int64))]
+                first = np.unique((at[:, None] - np.arange(window)).ravel())
+                first = first[(first >= 0) & (first <= len(low) - words)].tolist()
+                rows += [i] * len(first)
+                out += [(hashlib.blake2b(" ".join(low[p : p + words]).encode("utf-8"), digest_size=16).digest(), places[p][0], places[p + words - 1][1]) for p in first]
+            own = batch[["_id", "_h"]].iloc[rows].reset_index(drop=True)
+            yield pd.concat([own, pd.DataFrame(out, columns=["digest", "start", "end"])], axis=1)
+
+    found = saved(source.mapInPandas(find, f"_id {kind}, _h bigint, anchor bigint"), "passage-anchors")
+    again = saved(found.groupBy("anchor").count().where("count > 1").select("anchor"), "passage-repeated")
+    hot = found.join(again, "anchor").groupBy("_id", "_h").agg(F.collect_set("anchor").alias("_anchors"))
+    hot = hot.withColumnRenamed("_id", "_hot_id").withColumnRenamed("_h", "_hot_h")
+    marked = source.join(hot, F.col("_id").eqNullSafe(F.col("_hot_id")) & (F.col("_h") == F.col("_hot_h"))).drop("_hot_id", "_hot_h")
+    units = marked.mapInPandas(passages, f"_id {kind}, _h bigint, digest binary, start int, end int")
+    return repeated_units(saved(units, "passage-units"))
+
+
+def cut_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = PASSAGE_WORDS) -> DataFrame:
+    """Rows without the passages of ``words`` words that an earlier ranked place has too, wherever in a line they stand;
+    ``removed_spans`` as of ``deduplicate``. Each word cut has a copy that ranks before it."""
+    return without(docs, repeated_passages(docs, id_column, text_column, words), id_column, text_column)

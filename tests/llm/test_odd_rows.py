@@ -63,6 +63,17 @@ def test_substring_rows_without_id_share_a_first_line(spark):
     assert sum(line in t for t in texts) == sum("alone" in t for t in texts) == 1
 
 
+def test_pipeline_stage_cuts_passages_within_lines(spark, odd_docs, no_docs):
+    import corpus_pipeline as P
+
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"one {passage} end"), (2, f"a line that starts otherwise {passage.upper()} and goes on"), (3, None), (4, f"ends with {passage}\nnext")], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    got = {r["doc_id"]: r["text"] for r in P.cut_repeated_lines(spark, docs, "").collect()}
+    assert got == {1: f"one {passage} end", 2: "a line that starts otherwise  and goes on", 3: None, 4: "ends with \nnext"}
+    assert substring.cut_passages(odd_docs).count() == odd_docs.count() and substring.cut_passages(no_docs).count() == 0
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/?q=é\r\n%41", "<p>é</p>"), (2, None, "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "u", ""), (None, "u", "z" * 3_000_000)], "page_id long, url string, html string")
     archives = warc.write_archives(pages, warc.scratch_path(spark, "warc-test"), archive_bytes=500)
