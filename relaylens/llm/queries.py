@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylens.llm import bpe, ctw, decontam, html, minhash, quality, sharding, substring, toxicity, warc
-from relaylens.llm.common import table
+from relaylens.llm import bpe, chat, ctw, decontam, html, minhash, quality, runs, search, sharding, substring, toxicity, warc
+from relaylens.llm.common import saved, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +71,27 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: A conversation added to the table, whose texts are control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix-target examples of every conversation, written, read back and digested."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], given.schema)
+    return chat.digests(saved(chat.expand(given.unionByName(added)), "chat-examples"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them with a planted tail."""
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 #: Windows joined to document word positions. Joined words are windows' keys: no word holds a blank.
 OP1_SQL = r"""
 WITH dw AS (
@@ -116,6 +137,47 @@ SELECT doc_id,
 FROM f
 """
 
+#: Integer scores of all documents that share a term with an item.
+OP11_SQL = r"""
+WITH dt AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+tf AS (SELECT rid, doc_id, term, count(*) AS tf FROM dt GROUP BY ALL),
+len AS (SELECT rid, sum(tf)::BIGINT AS n FROM tf GROUP BY rid),
+tot AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM len),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+it AS (
+  SELECT item_id, iid, term, count(*) AS q
+  FROM (SELECT item_id, iid, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT item_id, text, row_number() OVER () AS iid FROM (SELECT DISTINCT item_id, text FROM benchmark)))
+  GROUP BY ALL),
+sc AS (
+  SELECT it.iid, it.item_id, tf.rid, tf.doc_id,
+         sum(q * floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df.df + 1)::DOUBLE))::BIGINT
+             * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * len.n * nd) // l))))::BIGINT AS score
+  FROM it JOIN tf USING (term) JOIN df USING (term) JOIN len USING (rid), tot GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM rk WHERE rank <= 10
+"""
+
+#: Digests of the texts themselves; formatted_chars is each example's length: marks, roles and escaped texts.
+OP12_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (
+  SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+         sum(24 + length(role) + length(regexp_replace(text, '([<\[])(\\*)(\|[A-Za-z_]+\|>|/?s>|/?SYS>>|/?INST\])', '\1\2\\\3', 'g'))) OVER w AS upto
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE WHEN role = 'assistant' OR i = n THEN upto ELSE 0 END)::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -127,9 +189,14 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
     "op10_html": op10_html,
+    "op11_search": op11_search,
+    "op12_chat_formatting": op12_chat_formatting,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
     "op1_decontamination": OP1_SQL,
     "op9_sharding": OP9_SQL,
+    "op11_search": OP11_SQL,
+    "op12_chat_formatting": OP12_SQL,
 }

@@ -19,7 +19,7 @@ def rows_of(spark, sf, name):
 @pytest.mark.parametrize("key", sorted(Q.ORACLE_SQL))
 def test_query_equals_its_sql(spark, sf, key):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = Q.QUERIES[key](spark, sf)
     want = con.sql(Q.ORACLE_SQL[key])
