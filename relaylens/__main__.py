@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     cfg = _config(a)
     if a.mode == "load":
         r = run_load(spark, cfg, window_id=a.window_id, run_date=a.run_date)
-        out = {"status": r.status, "window_id": r.window_id, "files": len(r.files), "alerts": r.alert_count,
+        out = {"status": r.status, "window_id": r.window_id, "files": r.file_count, "alerts": r.alert_count,
                "audits": {k: {kk: str(vv) for kk, vv in v.items()} for k, v in r.audits.items()}}
         print(json.dumps(out))
         return 0
@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
 
     q = start_load_stream(spark, cfg, a.checkpoint, run_date=a.run_date, archive_dir=a.archive_dir)
     q.awaitTermination()
-    print(json.dumps([{"status": r.status, "window_id": r.window_id, "files": len(r.files)} for r in q.load_results]))
+    print(json.dumps([{"status": r.status, "window_id": r.window_id, "files": r.file_count} for r in q.load_results]))
     return 0
 
 

@@ -152,6 +152,18 @@ SUMMARY_SCHEMA = T.StructType(
     ]
 )
 
+# Rows that a load refused (our own table): where they stood and why.
+REJECT_TABLE = "RejectTable"
+REJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("line_no", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("line", T.StringType()),
+        T.StructField("WINDOW_ID", T.StringType()),
+    ]
+)
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("TableName", T.StringType(), False),

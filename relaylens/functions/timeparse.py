@@ -91,6 +91,43 @@ def report_date_part(c) -> Column:
     return F.coalesce(fast, lenient).cast("date")
 
 
+# One pass over a text: its date, perhaps its time, perhaps its half of the day.
+_PARTS = rf"^\s*({_DATE_PART}(?: \s*{_TIME_PART}(?:\s+[AaPp][Mm])?)?)"
+
+
+def report_parts(c) -> Column:
+    """The recognised numbers of a report text: [month, day, year] or [month, day, year, hour, minute, second] and,
+    if the text names one, the half of the day. Take them once, in a projection of their own; ``parts_timestamp`` and
+    ``parts_date`` then need no further look at the text but for its blanks and capitals."""
+    return F.split(F.regexp_extract(_col(c), _PARTS, 1), r"[/:\s]+")
+
+
+def _number(parts: Column, i: int) -> Column:
+    return F.get(parts, F.lit(i)).try_cast("int")
+
+
+def _instant(parts: Column, hour: Column, minute: Column, second: Column) -> Column:
+    """Null on any number out of range; seconds of 60 and the year 0 are none."""
+    year = _number(parts, 2)
+    whole = F.try_make_timestamp(F.when(year >= 1, year), _number(parts, 0), _number(parts, 1), hour, minute, F.when(second <= 59, second))
+    return whole
+
+
+def parts_timestamp(c, parts) -> Column:
+    """``parse_report_timestamp`` of text ``c`` from its ``report_parts``."""
+    c, parts = _col(c), _col(parts)
+    hour, half = _number(parts, 3), F.upper(F.get(parts, F.lit(6)))
+    twelve = F.when(hour.between(1, 12) & half.isNotNull(), hour % 12 + F.when(half == "PM", F.lit(12)).otherwise(F.lit(0)))
+    return _instant(parts, F.when(is_twelve_hour(c), twelve).otherwise(hour), _number(parts, 4), _number(parts, 5))
+
+
+def parts_date(c, parts) -> Column:
+    """``report_date_part`` of text ``c`` from its ``report_parts``: null where the text starts with a blank."""
+    c, parts = _col(c), _col(parts)
+    zero = F.lit(0)
+    return F.when(~c.startswith(" "), _instant(parts, zero, zero, zero).cast("date"))
+
+
 def effective_send_date(message_sent, file_date) -> Column:
     """Date of the message text, falling back to the file date."""
     return F.coalesce(report_date_part(message_sent), _col(file_date))

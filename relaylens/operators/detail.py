@@ -23,7 +23,7 @@ from relaylens.contract import (
     WINDOW_ID_COLUMN,
 )
 from relaylens.functions.casts import fill_empty, text_to_bigint, text_to_int
-from relaylens.functions.timeparse import parse_report_timestamp
+from relaylens.functions.timeparse import parse_report_timestamp, parts_date, parts_timestamp, report_parts
 
 _TIMESTAMP_SOURCES = {
     "Date Message Sent",
@@ -31,6 +31,14 @@ _TIMESTAMP_SOURCES = {
     "FAX_Date Message Sent",
     "FAX_Date_Failed/Confirmed",
 }
+# Columns that ``with_parsed_times`` adds: one per timestamp text, and the day of the sent text.
+PARSED_TIMES = {
+    "Date Message Sent": "_sent_ts",
+    "Date Failed/Confirmed": "_confirmed_ts",
+    "FAX_Date Message Sent": "_fax_sent_ts",
+    "FAX_Date_Failed/Confirmed": "_fax_confirmed_ts",
+}
+PARSED_DAY = "_sent_day"
 _INT_SOURCES = {"ROW_NUMBER", "PRESCRIBER_NPI", "NUMBER_FAX_PAGES"}
 _BIGINT_SOURCES = {"FAX_NUMBER"}
 
@@ -60,8 +68,33 @@ def _raw(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _convert(source: str) -> Column:
+def with_parsed_times(raw: DataFrame) -> DataFrame:
+    """``raw`` with its four timestamp texts parsed, each text once, and the day of the sent text.
+
+    ``normalize_detail`` and ``daily_stats`` use these columns where they are, so a
+    load that stages them parses nothing twice.
+    """
+    parts = raw.select("*", *[report_parts(_raw(c)).alias(f"{name}_parts") for c, name in PARSED_TIMES.items()])
+    times = [parts_timestamp(_raw(c), F.col(f"{name}_parts")).alias(name) for c, name in PARSED_TIMES.items()]
+    day = parts_date(_raw("Date Message Sent"), F.col(PARSED_TIMES["Date Message Sent"] + "_parts")).alias(PARSED_DAY)
+    return parts.select(*[_raw(c) for c in raw.columns], *times, day)
+
+
+def reject_reasons(not_null: tuple[str, ...] = (), file_name: bool = False) -> Column:
+    """array<string> of what is wrong with a row, for rows that came with their file's ``names`` (sources.inbox).
+
+    ``not_null``: columns that must have a value; ``file_name``: the file's name must give a line of business and a date.
+    """
+    checks = [F.when(_raw(c).isNull(), F.lit(f"{c} is missing")) for c in not_null]
+    if file_name:
+        checks += [F.when(_raw("SRC_LOB").isNull(), F.lit("no line of business in the file's name")), F.when(_raw("Sent_Date").isNull(), F.lit("no date in the file's name"))]
+    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+
+
+def _convert(source: str, parsed: bool = False) -> Column:
     c = _raw(source)
+    if parsed and source in PARSED_TIMES:
+        return F.col(PARSED_TIMES[source])
     if source in _TIMESTAMP_SOURCES:
         return parse_report_timestamp(c)
     if source in _INT_SOURCES:
@@ -82,7 +115,8 @@ def normalize_detail(raw: DataFrame, window_id: str, wide_npi_column: str | None
     text so leading zeros survive. ``wide_npi_column`` (opt-in) appends the NPI
     as BIGINT under that name, so values beyond INT are kept as well.
     """
-    cols = [_convert(src).alias(dst) for src, dst in DETAIL_COLUMN_MAP]
+    parsed = set(PARSED_TIMES.values()) <= set(raw.columns)
+    cols = [_convert(src, parsed).alias(dst) for src, dst in DETAIL_COLUMN_MAP]
     cols.append(F.lit(window_id).cast("string").alias(WINDOW_ID_COLUMN))
     if wide_npi_column:
         cols.append(text_to_bigint(_raw("PRESCRIBER_NPI").cast("string")).alias(wide_npi_column))

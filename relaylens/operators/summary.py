@@ -23,6 +23,7 @@ Definitions (``d`` = message date, else file date):
   ``NBR_OF_MSG_WTH_NPI`` = count, ``NBR_OF_MSG_SND`` = count minus Failed,
   ``SUC_RT`` = SND / WTH_NPI * 100, ``AVG_TM_TO_CNFM`` = mean seconds from sent
   to confirmed with a missing confirmation counted as 0;
+* counts beyond INT are null in the summary's INT columns (they don't end the load);
 * rows with a null LOB or date are dropped;
 * defaults for days without an eligible row, applied in this order:
   WTH_NPI := PROV_RCH, SND := 0, SUC_RT := (new) WTH_NPI / ATMPT * 100,
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 
 from relaylens.contract import MATCH_FOUND, STATUS_CONFIRMED, STATUS_FAILED, SUMMARY_SCHEMA, WINDOW_ID_COLUMN
 from relaylens.functions.casts import percent, ratio, to_decimal
+from relaylens.operators.detail import PARSED_DAY, PARSED_TIMES
 from relaylens.functions.timeparse import confirm_seconds, effective_send_date, parse_report_timestamp, report_date_part
 
 LOB = "SRC_LOB"
@@ -133,8 +135,8 @@ def full_outer_merge(raw: DataFrame) -> DataFrame:
     p = phase_metrics(raw).select(
         _c(LOB),
         _c(DATE),
-        F.col("Total_count").cast("int").alias("NBR_OF_MSG_WTH_NPI"),
-        (F.col("Total_count") - F.col("Failed")).cast("int").alias("NBR_OF_MSG_SND"),
+        F.col("Total_count").try_cast("int").alias("NBR_OF_MSG_WTH_NPI"),
+        (F.col("Total_count") - F.col("Failed")).try_cast("int").alias("NBR_OF_MSG_SND"),
         "AVG_TM_TO_CNFM",
     )
     p = p.withColumn("SUC_RT", percent("NBR_OF_MSG_SND", "NBR_OF_MSG_WTH_NPI"))
@@ -149,9 +151,9 @@ def full_outer_merge(raw: DataFrame) -> DataFrame:
     return j.select(
         F.coalesce(p[LOB], t["SRC_LOB_temp"]).alias("SRC_LOB"),
         F.coalesce(p[DATE], t["Sent_Date_temp"]).alias("DT_MSG_SND"),
-        t["NBR_OF_MSG_ATMPT"].cast("int").alias("NBR_OF_MSG_ATMPT"),
+        t["NBR_OF_MSG_ATMPT"].try_cast("int").alias("NBR_OF_MSG_ATMPT"),
         p["NBR_OF_MSG_WTH_NPI"],
-        t["NBR_OF_PROV_RCH"].cast("int").alias("NBR_OF_MSG_WTH_NPI_RCH"),
+        t["NBR_OF_PROV_RCH"].try_cast("int").alias("NBR_OF_MSG_WTH_NPI_RCH"),
         p["NBR_OF_MSG_SND"],
         p["SUC_RT"],
         p["AVG_TM_TO_CNFM"],
@@ -178,7 +180,7 @@ def apply_summary_defaults(summary: DataFrame) -> DataFrame:
 
 
 def _finish(summary: DataFrame) -> DataFrame:
-    return summary.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA])
+    return summary.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA])
 
 
 def daily_summary_two_branch(raw: DataFrame, window_id: str) -> DataFrame:
@@ -193,6 +195,19 @@ def daily_summary_two_branch(raw: DataFrame, window_id: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+#: Columns of ``daily_stats``: the group and its counters.
+STATS_COLUMNS = [LOB, DATE, "rows", "attempts", "reached", "matched", "successful", "elig_count", "elig_failed", "elig_secs"]
+
+
+def message_day(raw: DataFrame) -> Column:
+    """The day of the sent text: the parsed column where ``with_parsed_times`` has added it."""
+    return F.col(PARSED_DAY) if PARSED_DAY in raw.columns else report_date_part(_c(SENT))
+
+
+def _message_time(raw: DataFrame, source: str) -> Column:
+    return F.col(PARSED_TIMES[source]) if PARSED_TIMES[source] in raw.columns else _c(source)
+
+
 def daily_stats(raw: DataFrame) -> DataFrame:
     """Every counter the summary and the alerts need, in one aggregation.
 
@@ -205,7 +220,8 @@ def daily_stats(raw: DataFrame) -> DataFrame:
     Output columns: SRC_LOB, Sent_Date, rows, attempts, reached, matched,
     successful, elig_count, elig_failed, elig_secs.
     """
-    msg_date = report_date_part(_c(SENT))
+    msg_date = message_day(raw)
+    parsed = PARSED_TIMES[SENT] in raw.columns
     pre = raw.select(
         _c(LOB),
         F.coalesce(msg_date, _c(DATE)).alias(DATE),
@@ -214,13 +230,11 @@ def daily_stats(raw: DataFrame) -> DataFrame:
         (_c(DIRECT) == STATUS_CONFIRMED).alias("is_confirmed"),
         (_c(DIRECT) == STATUS_FAILED).alias("is_failed"),
         (eligible_condition() & msg_date.isNotNull()).alias("eligible"),
-        _c(SENT).alias("sent_text"),
-        _c(CONFIRMED).alias("confirmed_text"),
-    )
-    secs = F.when(
-        F.col("eligible"),
-        confirm_seconds(parse_report_timestamp(F.col("sent_text")), parse_report_timestamp(F.col("confirmed_text"))),
+        _message_time(raw, SENT).alias("sent"),
+        _message_time(raw, CONFIRMED).alias("confirmed"),
     )
+    times = [F.col(c) if parsed else parse_report_timestamp(F.col(c)) for c in ("sent", "confirmed")]
+    secs = F.when(F.col("eligible"), confirm_seconds(*times))
     # Level 1: per (LOB, day, address) -- the distinct count of addresses
     # becomes a count of non-null keys at level 2. Both levels aggregate
     # partially before their shuffle, so a hot (LOB, day) group is first split
@@ -254,16 +268,16 @@ def summary_from_stats(stats: DataFrame, window_id: str, with_default_flag: bool
     """
     kept = stats.where(F.col(LOB).isNotNull() & F.col(DATE).isNotNull())
     has = F.col("elig_count") > 0
-    sent = (F.col("elig_count") - F.col("elig_failed")).cast("int")
+    sent = (F.col("elig_count") - F.col("elig_failed")).try_cast("int")
     out = kept.select(
         F.col(LOB).alias("SRC_LOB"),
         F.col(DATE).alias("DT_MSG_SND"),
-        F.col("attempts").cast("int").alias("NBR_OF_MSG_ATMPT"),
-        F.when(has, F.col("elig_count")).otherwise(F.col("reached")).cast("int").alias("NBR_OF_MSG_WTH_NPI"),
-        F.col("reached").cast("int").alias("NBR_OF_PROV_RCH"),
+        F.col("attempts").try_cast("int").alias("NBR_OF_MSG_ATMPT"),
+        F.when(has, F.col("elig_count")).otherwise(F.col("reached")).try_cast("int").alias("NBR_OF_MSG_WTH_NPI"),
+        F.col("reached").try_cast("int").alias("NBR_OF_PROV_RCH"),
         F.when(has, sent).otherwise(F.lit(0)).alias("NBR_OF_MSG_SND"),
-        F.when(has, percent(sent, F.col("elig_count").cast("int")))
-        .otherwise(percent(F.col("reached").cast("int"), F.col("attempts").cast("int")))
+        F.when(has, percent(sent, F.col("elig_count").try_cast("int")))
+        .otherwise(percent(F.col("reached").try_cast("int"), F.col("attempts").try_cast("int")))
         .alias("SUC_RT"),
         F.when(has, to_decimal(ratio("elig_secs", "elig_count"), 22, 2))
         .otherwise(F.lit(0).cast("decimal(22,2)"))
@@ -271,7 +285,7 @@ def summary_from_stats(stats: DataFrame, window_id: str, with_default_flag: bool
         F.lit(window_id).cast("string").alias(WINDOW_ID_COLUMN),
         (~has).alias("default_path"),
     )
-    finished = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA]
+    finished = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA]
     if with_default_flag:
         finished.append(F.col("default_path"))
     return out.select(*finished)

@@ -39,7 +39,7 @@ from relaylens.functions.timeparse import (
     report_date_part,
 )
 from relaylens.operators.alerts import alert_rates, low_rate_alerts, render_alerts
-from relaylens.operators.audit import audit_counts, audit_history, recent_loads
+from relaylens.operators.audit import audit_counts
 from relaylens.operators.detail import conform_to_contract, normalize_detail, project_to_target, status_flags
 from relaylens.operators.summary import (
     daily_attempts,
@@ -51,6 +51,7 @@ from relaylens.operators.summary import (
     phase_metrics,
     summary_from_stats,
 )
+from relaylens.plans.load_queries import LOADS, MESSY
 from relaylens.session import apply_semantic_conf
 from relaylens.sources.events import EVENT_MESSAGES_SQL, event_messages
 from relaylens.sources.messages import MESSAGES_SQL, load_table, messages
@@ -237,10 +238,6 @@ def q_audit_counts(spark, sf_dir):
     return audit_counts(m, normalize_detail(m, QUERY_WINDOW_ID), daily_summary(m, QUERY_WINDOW_ID), QUERY_WINDOW_ID)
 
 
-def q_audit_recent(spark, sf_dir):
-    return recent_loads(audit_history(_msgs(spark, sf_dir)), 10)
-
-
 def q_load_elapsed(spark, sf_dir):
     m = _msgs(spark, sf_dir)
     sent = parse_report_timestamp(_c("Date Message Sent"))
@@ -290,11 +287,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "low_rate_alerts": q_low_rate_alerts,
     "alert_html": q_alert_html,
     "audit_counts": q_audit_counts,
-    "audit_recent": q_audit_recent,
     "load_elapsed": q_load_elapsed,
     "daily_summary_events": q_daily_summary_events,
     "low_rate_alerts_events": q_low_rate_alerts_events,
+    **MESSY,
+    **LOADS,
 }
+#: Queries that run several jobs over files and tables of their own.
+LOAD_QUERIES = set(LOADS)
 
 
 # ---------------------------------------------------------------------------
@@ -462,32 +462,6 @@ def _file_names_sql() -> str:
     )
 
 
-def _audit_history_sql() -> str:
-    eff = _EFF
-    return f"""{_WITH_M},
-per_load AS (
-  SELECT "Sent_Date" AS file_date, count(*) AS nrows,
-         count(DISTINCT ("SRC_LOB", {eff})) FILTER (WHERE "SRC_LOB" IS NOT NULL AND {eff} IS NOT NULL) AS ngroups
-  FROM m WHERE "Sent_Date" IS NOT NULL GROUP BY 1),
-loads AS (
-  SELECT 'DetailTable' AS "TableName", strftime(file_date, '%Y%m%d') || '0000' AS "WindowID",
-         nrows AS source_count, nrows AS window_inserts, CAST(27 AS BIGINT) AS no_columns FROM per_load
-  UNION ALL
-  SELECT 'SummaryTable', strftime(file_date, '%Y%m%d') || '0000', nrows, ngroups, CAST(9 AS BIGINT) FROM per_load),
-h AS (
-  SELECT "TableName", "WindowID", source_count,
-         CAST(sum(window_inserts) OVER w AS BIGINT) AS delta_count,
-         CAST(sum(window_inserts) OVER w AS BIGINT) AS synapse_count,
-         no_columns, window_inserts,
-         CAST(row_number() OVER w - 1 AS BIGINT) AS restore_version
-  FROM loads
-  WINDOW w AS (PARTITION BY "TableName" ORDER BY "WindowID" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT "TableName", "WindowID", source_count, delta_count, synapse_count,
-       CASE WHEN delta_count = synapse_count THEN 'PASSED' ELSE 'FAILED' END AS count_validation,
-       no_columns, window_inserts, restore_version
-FROM h ORDER BY "WindowID" DESC, "TableName" ASC LIMIT 10"""
-
-
 def _raw_cols_sql(cols: list[str]) -> str:
     return ", ".join(f'"{c}"' for c in cols)
 
@@ -550,7 +524,6 @@ def oracle_sql() -> dict[str, str]:
         "low_rate_alerts": f"{_WITH_M}, {_RATES_CTE}, {_ALERTS_CTE} SELECT * FROM a",
         "alert_html": _alert_html_sql(),
         "audit_counts": _audit_counts_sql(),
-        "audit_recent": _audit_history_sql(),
         "load_elapsed": (
             f"{_WITH_M} SELECT \"IDENTIFIER\", "
             f"({_epoch(_ts(CONF))} - {_epoch(_ts(SENT))}) // 60 AS elapsed_minutes, "
@@ -561,7 +534,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "low_rate_alerts_events": f"{_WITH_E}, {_RATES_CTE}, {_ALERTS_CTE} SELECT * FROM a",
     }
-    return sql
+    from relaylens.plans import load_sql
+
+    return sql | load_sql.oracle_sql()
 
 
 def _daily_stats_sql() -> str:

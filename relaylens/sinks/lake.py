@@ -1,9 +1,13 @@
-"""Lake writes, alert text, staging and input archiving.
-
-* ``write_window`` replaces the partition of one load (dynamic partition
-  overwrite), so re-running a load -- after a failure, or by a streaming
-  micro-batch replay -- leaves exactly one copy of its rows. The row count is
-  taken by ``observe`` on the write itself: no second scan.
+"""Lake writes, alert text and staging.
+
+* ``write_partition`` replaces one partition of a lake table. The partition is named
+  in the call and only its own folder is written, so the caller's session settings
+  don't matter, loads of different windows can't meet (each has its own folder, its
+  own temporary files and its own catalog entry), and running a load again -- after
+  a failure, or by a replay of a stream's batch -- leaves exactly one copy of its
+  rows. The row count is taken by ``observe`` on the write itself: no second scan.
+* ``read_window`` reads one load back: the window is a value of a partition filter,
+  so only that partition is listed and read.
 * ``stage`` writes a frame as Parquet under the shared checkpoint folder and
   reads it back: lineage is cut, a lost executor re-reads a file instead of
   re-parsing the CSV inputs, and later steps read only the columns they need.
@@ -14,48 +18,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from relaylens.contract import WINDOW_ID_COLUMN
 from relaylens.session import checkpoint_dir
+from relaylens.sources.catalog import table_detail
+
+
+def partition_folder(spark: SparkSession, location: str, spec: dict[str, str]) -> str:
+    """The folder of a partition, by the catalog's own rules for odd characters."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([location.rstrip("/"), *(utils.getPartitionPathString(k, v) for k, v in spec.items())])
 
 
-def insert_by_name(df: DataFrame, qualified: str, overwrite: bool = False) -> None:
-    """``insertInto`` after ordering columns as the table has them.
+def write_partition(df: DataFrame, qualified: str, spec: dict[str, str], optimize_write: bool = False) -> int:
+    """Replace the partition ``spec`` (every partition column, in order) of a lake table; returns the rows written.
 
-    ``insertInto`` is positional and catalog tables move partition columns to
-    the end, so resolving by name first is what keeps data in its column.
+    Columns go by name; a column that ``df`` lacks is an error. A partition value
+    may be neither null nor empty. ``optimize_write`` adds a ``REBALANCE`` (AQE sizes
+    the output files; one extra shuffle of the batch).
     """
     spark = df.sparkSession
-    target = spark.table(qualified).columns
-    ordered = df.select(*[F.col(f"`{c}`") for c in target])
-    if not overwrite:
-        ordered.write.insertInto(qualified)
-        return
-    # insertInto takes the overwrite mode of a catalog table from the session
-    # only, so it is set for this write whatever session the caller has.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        ordered.write.insertInto(qualified, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
-
-
-def write_window(df: DataFrame, qualified: str, optimize_write: bool = False) -> int:
-    """Write one load into its ``WINDOW_ID`` partition(s), replacing them.
-
-    ``optimize_write`` adds a ``REBALANCE`` (AQE sizes the output files; one
-    extra shuffle of the batch). Returns the number of rows written.
-    """
-    obs = Observation("window_write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    for name, value in spec.items():
+        if not value:
+            raise ValueError(f"{name} of {qualified} may not be null or empty")
+    detail = table_detail(spark, qualified)
+    obs = Observation("partition_write")
+    fields = [f for f in spark.table(qualified).schema if f.name not in spec]
+    rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields]).observe(obs, F.count(F.lit(1)).alias("rows"))
     if optimize_write:
-        observed = observed.hint("rebalance")
-    insert_by_name(observed, qualified, overwrite=True)
+        rows = rows.hint("rebalance")
+    literals = {k: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for k, v in spec.items()}
+    if detail["provider"] == "delta":
+        where = " AND ".join(f"`{k}` = {v}" for k, v in literals.items())
+        whole = rows.select("*", *[F.lit(v).alias(k) for k, v in spec.items()])
+        whole.write.format("delta").mode("overwrite").option("replaceWhere", where).save(detail["location"])
+    else:
+        rows.write.format(detail["provider"]).mode("overwrite").save(partition_folder(spark, detail["location"], spec))
+        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS PARTITION ({', '.join(f'`{k}` = {v}' for k, v in literals.items())})")
+        spark.catalog.refreshTable(qualified)
     return int(obs.get["rows"])
 
 
-def append_rows(df: DataFrame, qualified: str) -> None:
-    insert_by_name(df, qualified, overwrite=False)
+def write_window(df: DataFrame, qualified: str, window_id: str, optimize_write: bool = False) -> int:
+    """Write one load into its ``WINDOW_ID`` partition, replacing it."""
+    return write_partition(df, qualified, {WINDOW_ID_COLUMN: window_id}, optimize_write)
+
+
+def read_window(spark: SparkSession, qualified: str, window_id: str, column: str = WINDOW_ID_COLUMN) -> DataFrame:
+    """The rows of one load of a lake table (the window as a bound value, never as SQL text)."""
+    return spark.sql("SELECT * FROM IDENTIFIER(:name) WHERE IDENTIFIER(:col) = :window", args={"name": qualified, "col": column, "window": window_id})
 
 
 def table_count(spark: SparkSession, qualified: str) -> int:
@@ -63,15 +73,19 @@ def table_count(spark: SparkSession, qualified: str) -> int:
     return spark.table(qualified).count()
 
 
-def write_alert_text(alert_doc: DataFrame, alerts_dir: str, run_date: str, window_id: str) -> str | None:
-    """Write the alert document (one row, column ``html``) as one text file.
+def write_alert_parts(lines: DataFrame, alerts_dir: str, run_date: str, window_id: str) -> tuple[str, int]:
+    """Write an alert document (``operators.alerts.alert_lines``) as sorted text parts; returns (folder, alerts).
 
-    The folder carries both the run date and the window id, so a second run
-    on the same day does not replace the first one's alert.
+    The lines are range-partitioned by their order, so the parts, in name order, are
+    the document, whatever its size; header and footer are its first and last line.
+    Nothing is written where there is no alert. The folder carries both the run date
+    and the window id, so a second run on the same day does not replace the first.
     """
     path = f"{alerts_dir.rstrip('/')}/alert_date={run_date}/window_id={window_id}"
-    alert_doc.select("html").coalesce(1).write.mode("overwrite").text(path)
-    return path
+    obs = Observation("alert_lines")
+    ordered = lines.repartitionByRange("section", "line").sortWithinPartitions("section", "line")
+    ordered.observe(obs, F.count_if(F.col("section") == 1).alias("alerts")).select("line").write.mode("overwrite").text(path)
+    return path, int(obs.get["alerts"])
 
 
 def stage(df: DataFrame, name: str, window_id: str) -> DataFrame:
@@ -87,25 +101,4 @@ def stage_counted(df: DataFrame, name: str, window_id: str) -> tuple[DataFrame,
     path = f"{checkpoint_dir(spark)}/staging/{window_id}/{name}"
     obs = Observation(f"stage_{name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
-
-
-def archive_files(spark: SparkSession, paths: list[str], archive_root: str, window_id: str) -> list[str]:
-    """Move consumed input files to ``<archive_root>/<window_id>/`` (renames
-    through the Hadoop FileSystem; metadata operations, no data is copied
-    through the driver)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    target_dir = Path(f"{archive_root.rstrip('/')}/{window_id}")
-    moved = []
-    for p in paths:
-        src = Path(p)
-        fs = src.getFileSystem(conf)
-        fs.mkdirs(target_dir)
-        dst = Path(target_dir, src.getName())
-        if fs.exists(dst):  # a retried window archives the same files again
-            fs.delete(dst, False)
-        if fs.rename(src, dst):
-            moved.append(dst.toString())
-    return moved
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])

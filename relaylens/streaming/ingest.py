@@ -1,21 +1,27 @@
 """Incremental ingest with Structured Streaming.
 
-The inbox is watched by Spark's file stream source (``binaryFile`` format,
-reading only the file listing, never the content column). Each micro-batch is
-the set of files that arrived since the last one; ``foreachBatch`` runs a
-whole load over exactly those files. The checkpoint records which files were
-consumed, so a file is loaded once even if it is never moved; with
+The inbox is watched by Spark's text file source. A micro-batch is the lines of the
+files that arrived since the last one, each with its file; ``foreachBatch`` stages
+them as a batch load does (``sources.inbox``) and runs a whole load over them, so no
+list of files ever passes through the driver. The checkpoint records which files
+were consumed, so a file is loaded once even if it is never moved; with
 ``archive_dir`` Spark's ``cleanSource=archive`` moves consumed files away.
 
-``foreachBatch`` is at-least-once: a batch can run again after a failure.
-The load is idempotent because its window id is derived from the batch
-(``<first file's modification minute>-<batch id>``), so a replay writes the
-same lake partitions (dynamic overwrite) and deletes/re-appends the same
-warehouse window.
+``foreachBatch`` is at-least-once: a batch can run again after a failure. The load is
+idempotent because its window id is derived from the batch (``<first file's
+modification minute>-<batch id>``), so a replay replaces the same lake partitions,
+the same window of the daily state and the same audit rows, and deletes and
+re-appends the same warehouse window.
+
+Loads of a stream are cumulative: summary and alerts come from the daily state, so a
+backlog that is cut into batches gives what one batch would.
 """
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,33 +29,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from relaylens.contract import REPORT_GLOB
-from relaylens.functions.filename import decode_file_name
 from relaylens.functions.text import window_id_of
+from relaylens.sources.inbox import Batch, stage_batch
 
-
-# The binaryFile source's fixed schema (streaming sources need it stated).
-BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+#: Results of the newest loads that a query keeps.
+KEPT_RESULTS = 100
 
 
-def report_file_stream(
+def report_line_stream(
     spark: SparkSession,
     inbox: str,
     pattern: str = REPORT_GLOB,
     archive_dir: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming frame of newly arrived report files: (path, modified)."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", pattern)
+    """Streaming frame of the lines of newly arrived report files, each with its file and split."""
+    reader = spark.readStream.format("text").option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.load(inbox).select(decode_file_name(F.col("path")).alias("path"), F.col("modificationTime").alias("modified"))
+    return reader.load(inbox).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("file_modified"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("value"),
+    )
 
 
 def batch_window_id(files: DataFrame, batch_id: int) -> str:
     """``<minute of the batch's oldest file>-<batch id>``: the same for a replay."""
-    stamp = files.agg(window_id_of(F.min("modified")).alias("w")).first()["w"]
+    stamp = files.agg(window_id_of(F.min("file_modified")).alias("w")).first()["w"]
     return f"{stamp or '000000000000'}-{batch_id}"
 
 
@@ -57,29 +68,27 @@ def start_ingest(
     spark: SparkSession,
     inbox: str,
     checkpoint_location: str,
-    process: Callable[[SparkSession, list[str], str, int], object],
+    process: Callable[[SparkSession, Batch, str, int], object],
     pattern: str = REPORT_GLOB,
     archive_dir: str | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream; ``process(spark, paths, window_id, batch_id)`` runs per batch.
+    """Start the stream; ``process(spark, batch, window_id, batch_id)`` runs per batch of staged lines.
 
-    Without ``max_files_per_trigger`` a backlog is one batch, so summary and
-    alerts see it whole, as a batch load does. ``available_now`` (default) drains what is there and stops -- the
+    ``available_now`` (default) drains what is there and stops -- the
     scheduled-job form of the original; ``processing_time`` keeps it running.
     """
-    files = report_file_stream(spark, inbox, pattern, archive_dir, max_files_per_trigger)
+    lines = report_line_stream(spark, inbox, pattern, archive_dir, max_files_per_trigger)
 
-    def _run(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("path").distinct().collect()  # one row per file of this batch
-        paths = sorted(r["path"] for r in rows)
-        if not paths:
-            return
-        process(batch.sparkSession, paths, batch_window_id(batch, batch_id), batch_id)
+    def _run(rows: DataFrame, batch_id: int) -> None:
+        numbered = rows.withColumn("line_no", F.monotonically_increasing_id())
+        batch = stage_batch(numbered, f"stream-{uuid.uuid4().hex}")
+        if batch.file_count:
+            process(rows.sparkSession, batch, batch_window_id(batch.files, batch_id), batch_id)
 
-    writer = files.writeStream.foreachBatch(_run).option("checkpointLocation", checkpoint_location)
+    writer = lines.writeStream.foreachBatch(_run).option("checkpointLocation", checkpoint_location)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -88,17 +97,15 @@ def start_ingest(
 
 
 def start_load_stream(spark: SparkSession, cfg, checkpoint_location: str, run_date: str | None = None, **kwargs) -> StreamingQuery:
-    """``start_ingest`` with the full load (``plans.load``) as the batch step."""
-    import dataclasses
-
-    from relaylens.plans.load import run_load_on_paths
+    """``start_ingest`` with the full, cumulative load (``plans.load``) as the batch step."""
+    from relaylens.plans.load import run_load_on_batch
 
     # Moving consumed files is left to the stream (cleanSource), not the load.
-    cfg = dataclasses.replace(cfg, archive_dir=None)
-    results = []
+    cfg = dataclasses.replace(cfg, archive_dir=None, cumulative=True)
+    results: deque = deque(maxlen=KEPT_RESULTS)
 
-    def _process(sess: SparkSession, paths: list[str], window_id: str, batch_id: int):
-        results.append(run_load_on_paths(sess, cfg, paths, window_id, run_date))
+    def _process(sess: SparkSession, batch: Batch, window_id: str, batch_id: int):
+        results.append(run_load_on_batch(sess, cfg, batch, window_id, run_date))
 
     q = start_ingest(spark, cfg.inbox, checkpoint_location, _process, cfg.pattern, **kwargs)
     q.load_results = results  # type: ignore[attr-defined]

@@ -25,8 +25,8 @@ def test_stream_picks_up_new_files_once(spark, scratch_dir):
     ckpt = os.path.join(scratch_dir, "ckpt")
     seen = []
 
-    def record(sess, paths, window_id, batch_id):
-        seen.append((batch_id, window_id, [os.path.basename(p) for p in paths]))
+    def record(sess, batch, window_id, batch_id):
+        seen.append((batch_id, window_id, [os.path.basename(r["path"]) for r in batch.files.collect()]))
 
     q = start_ingest(spark, inbox, ckpt, record)
     q.awaitTermination(120)
@@ -64,8 +64,8 @@ def test_stream_archives_consumed_files(spark, scratch_dir):
     ckpt = os.path.join(scratch_dir, "ckpt")
     seen = []
 
-    def record(sess, paths, window_id, batch_id):
-        seen.append([os.path.basename(p) for p in paths])
+    def record(sess, batch, window_id, batch_id):
+        seen.append([os.path.basename(r["path"]) for r in batch.files.collect()])
 
     start_ingest(spark, inbox, ckpt, record, archive_dir=archive).awaitTermination(120)
     shutil.copy(files[1], inbox)
