@@ -95,37 +95,27 @@ def report_date_part(c) -> Column:
 _PARTS = rf"^\s*({_DATE_PART}(?: \s*{_TIME_PART}(?:\s+[AaPp][Mm])?)?)"
 
 
-def report_parts(c) -> Column:
-    """The recognised numbers of a report text: [month, day, year] or [month, day, year, hour, minute, second] and,
-    if the text names one, the half of the day. Take them once, in a projection of their own; ``parts_timestamp`` and
-    ``parts_date`` then need no further look at the text but for its blanks and capitals."""
-    return F.split(F.regexp_extract(_col(c), _PARTS, 1), r"[/:\s]+")
+def parse_report_text(c) -> Column:
+    """Text -> struct<ts, day>: ``parse_report_timestamp`` and ``report_date_part`` of it from one look at the text.
 
-
-def _number(parts: Column, i: int) -> Column:
-    return F.get(parts, F.lit(i)).try_cast("int")
-
-
-def _instant(parts: Column, hour: Column, minute: Column, second: Column) -> Column:
-    """Null on any number out of range; seconds of 60 and the year 0 are none."""
-    year = _number(parts, 2)
-    whole = F.try_make_timestamp(F.when(year >= 1, year), _number(parts, 0), _number(parts, 1), hour, minute, F.when(second <= 59, second))
-    return whole
-
-
-def parts_timestamp(c, parts) -> Column:
-    """``parse_report_timestamp`` of text ``c`` from its ``report_parts``."""
-    c, parts = _col(c), _col(parts)
-    hour, half = _number(parts, 3), F.upper(F.get(parts, F.lit(6)))
-    twelve = F.when(hour.between(1, 12) & half.isNotNull(), hour % 12 + F.when(half == "PM", F.lit(12)).otherwise(F.lit(0)))
-    return _instant(parts, F.when(is_twelve_hour(c), twelve).otherwise(hour), _number(parts, 4), _number(parts, 5))
-
-
-def parts_date(c, parts) -> Column:
-    """``report_date_part`` of text ``c`` from its ``report_parts``: null where the text starts with a blank."""
-    c, parts = _col(c), _col(parts)
-    zero = F.lit(0)
-    return F.when(~c.startswith(" "), _instant(parts, zero, zero, zero).cast("date"))
+    The recognised prefix is cut into its numbers and perhaps a half of the day, and both values are built from these;
+    a number out of range gives null. A text is handled in one expression, which keeps the generated method of a row of
+    many texts small. Take the fields of the struct in a later projection, so that it is computed once.
+    """
+    c = _col(c)
+    twelve, shifted = is_twelve_hour(c), c.startswith(" ")
+    parts = F.split(F.regexp_extract(c, _PARTS, 1), r"[/:\s]+")
+
+    def build(p: Column) -> Column:
+        month, day, year, hour, minute, second = (F.get(p, F.lit(i)).try_cast("int") for i in range(6))
+        half, zero = F.upper(F.get(p, F.lit(6))), F.lit(0)
+        of_half = F.when(hour.between(1, 12) & half.isNotNull(), hour % 12 + F.when(half == "PM", F.lit(12)).otherwise(zero))
+        # the builder would take 60 seconds for the next minute's first
+        ts = F.try_make_timestamp(year, month, day, F.when(twelve, of_half).otherwise(hour), minute, F.when(second <= 59, second))
+        date = F.when(~shifted, F.try_make_timestamp(year, month, day, zero, zero, zero).cast("date"))
+        return F.struct(ts.alias("ts"), date.alias("day"))
+
+    return F.transform(F.array(parts), build)[0]
 
 
 def effective_send_date(message_sent, file_date) -> Column:

@@ -23,7 +23,7 @@ from relaylens.contract import (
     WINDOW_ID_COLUMN,
 )
 from relaylens.functions.casts import fill_empty, text_to_bigint, text_to_int
-from relaylens.functions.timeparse import parse_report_timestamp, parts_date, parts_timestamp, report_parts
+from relaylens.functions.timeparse import parse_report_text, parse_report_timestamp
 
 _TIMESTAMP_SOURCES = {
     "Date Message Sent",
@@ -74,10 +74,10 @@ def with_parsed_times(raw: DataFrame) -> DataFrame:
     ``normalize_detail`` and ``daily_stats`` use these columns where they are, so a
     load that stages them parses nothing twice.
     """
-    parts = raw.select("*", *[report_parts(_raw(c)).alias(f"{name}_parts") for c, name in PARSED_TIMES.items()])
-    times = [parts_timestamp(_raw(c), F.col(f"{name}_parts")).alias(name) for c, name in PARSED_TIMES.items()]
-    day = parts_date(_raw("Date Message Sent"), F.col(PARSED_TIMES["Date Message Sent"] + "_parts")).alias(PARSED_DAY)
-    return parts.select(*[_raw(c) for c in raw.columns], *times, day)
+    read = raw.select("*", *[parse_report_text(_raw(c)).alias(f"{name}_read") for c, name in PARSED_TIMES.items()])
+    times = [F.col(f"{name}_read.ts").alias(name) for name in PARSED_TIMES.values()]
+    day = F.col(PARSED_TIMES["Date Message Sent"] + "_read.day").alias(PARSED_DAY)
+    return read.select(*[_raw(c) for c in raw.columns], *times, day)
 
 
 def reject_reasons(not_null: tuple[str, ...] = (), file_name: bool = False) -> Column:

@@ -208,18 +208,8 @@ def _message_time(raw: DataFrame, source: str) -> Column:
     return F.col(PARSED_TIMES[source]) if PARSED_TIMES[source] in raw.columns else _c(source)
 
 
-def daily_stats(raw: DataFrame) -> DataFrame:
-    """Every counter the summary and the alerts need, in one aggregation.
-
-    Grouped by (SRC_LOB, effective date) with null keys kept (the alerts keep
-    them, the summary drops them). An eligible row must also have a parseable
-    message date: in the original such a row lands in a (LOB, null) group of
-    the eligible branch, which the join never matches and the null filter
-    drops, while the row still counts in the totals under its file date.
-
-    Output columns: SRC_LOB, Sent_Date, rows, attempts, reached, matched,
-    successful, elig_count, elig_failed, elig_secs.
-    """
+def daily_parts(raw: DataFrame) -> DataFrame:
+    """The first level of ``daily_stats``: its counters per (SRC_LOB, effective date, address), null keys kept."""
     msg_date = message_day(raw)
     parsed = PARSED_TIMES[SENT] in raw.columns
     pre = raw.select(
@@ -239,7 +229,7 @@ def daily_stats(raw: DataFrame) -> DataFrame:
     # becomes a count of non-null keys at level 2. Both levels aggregate
     # partially before their shuffle, so a hot (LOB, day) group is first split
     # by address and then arrives at level 2 as one partial row per task.
-    per_address = pre.groupBy(LOB, DATE, "address").agg(
+    return pre.groupBy(LOB, DATE, "address").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(_c(LOB)).alias("attempts"),
         F.count_if(F.col("is_found")).alias("matched"),
@@ -248,6 +238,25 @@ def daily_stats(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("eligible") & F.col("is_failed")).alias("elig_failed"),
         F.sum(secs).alias("elig_secs"),
     )
+
+
+def daily_stats(raw: DataFrame) -> DataFrame:
+    """Every counter the summary and the alerts need, in one aggregation.
+
+    Grouped by (SRC_LOB, effective date) with null keys kept (the alerts keep
+    them, the summary drops them). An eligible row must also have a parseable
+    message date: in the original such a row lands in a (LOB, null) group of
+    the eligible branch, which the join never matches and the null filter
+    drops, while the row still counts in the totals under its file date.
+
+    Output columns: SRC_LOB, Sent_Date, rows, attempts, reached, matched,
+    successful, elig_count, elig_failed, elig_secs.
+    """
+    return stats_from_parts(daily_parts(raw))
+
+
+def stats_from_parts(per_address: DataFrame) -> DataFrame:
+    """``daily_stats`` from its first level."""
     return per_address.groupBy(LOB, DATE).agg(
         F.sum("rows").alias("rows"),
         F.sum("attempts").alias("attempts"),

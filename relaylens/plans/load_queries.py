@@ -33,7 +33,7 @@ from relaylens.operators.detail import normalize_detail, with_parsed_times
 from relaylens.operators.summary import daily_stats, summary_from_stats
 from relaylens.plans.load import CatalogWarehouse, LoadConfig, Quarantine, run_load, stage_rows
 from relaylens.session import apply_semantic_conf, checkpoint_dir
-from relaylens.sinks.archive import _system, archive_files
+from relaylens.sinks.archive import archive_files, file_system
 from relaylens.sinks.lake import read_window, stage, write_alert_parts
 from relaylens.sinks.state import DailyState
 from relaylens.sources.messages import messages
@@ -42,6 +42,8 @@ from relaylens.sources.reports import read_reports, stage_inbox
 WINDOW = "202101010000"
 RUN_DATE = "2021-01-01"
 SLICES = 3
+#: The tables' months are many and small.
+PERIOD = "yyyy"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -107,7 +109,7 @@ def write_report_files(lines: DataFrame, inbox: str, folder_of: Column | None =
                     if out is not None:
                         out.close()
                         done.append((name, written))
-                    system, path = _system(file)
+                    system, path = file_system(file)
                     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                     name, out, written = file, system.open_output_stream(path), 0
                     out.write(f"{header}\n".encode())
@@ -172,7 +174,7 @@ def q_load_audit(spark, sf_dir):
 def _slices(spark, sf_dir) -> DataFrame:
     """Totals of the daily state after the files came in slices."""
     inbox = _inbox(spark, sf_dir, "slices", folder_of=F.col("file_no") % SLICES)
-    state = DailyState(spark, scratch(spark, "state"))
+    state = DailyState(spark, scratch(spark, "state"), PERIOD)
     for k in range(SLICES):
         rows, _, _, _ = stage_rows(spark, stage_inbox(spark, f"{inbox}/{k}"), f"slice-{uuid.uuid4().hex}")
         state.add(rows, f"w{k}")
@@ -196,7 +198,7 @@ def q_distinct_across_loads(spark, sf_dir):
     """Counters and distinct addresses over three overlapping loads, the second of them written twice."""
     apply_semantic_conf(spark)
     rows = messages(spark, sf_dir)
-    state = DailyState(spark, scratch(spark, "state"))
+    state = DailyState(spark, scratch(spark, "state"), PERIOD)
     for k in (0, 1, 2, 1):
         state.add(rows.where(OVERLAPS[k]), f"w{k}")
     return state.totals()
