@@ -27,13 +27,16 @@ from relaylens.contract import (
     RAW_COLUMNS,
     REJECT_TABLE,
     REPORT_COLUMNS,
+    SUMMARY_TABLE,
 )
 from relaylens.operators.alerts import alert_lines, filter_alerts, low_rate_alerts, rates_from_stats
+from relaylens.operators.audit import recent_loads
 from relaylens.operators.detail import normalize_detail, with_parsed_times
 from relaylens.operators.summary import daily_stats, summary_from_stats
-from relaylens.plans.load import CatalogWarehouse, LoadConfig, Quarantine, run_load, stage_rows
+from relaylens.plans.load import CatalogWarehouse, LoadConfig, Quarantine, load_one_table, run_load, stage_rows
 from relaylens.session import apply_semantic_conf, checkpoint_dir
 from relaylens.sinks.archive import archive_files, file_system
+from relaylens.sinks.ddl import create_lake_tables
 from relaylens.sinks.lake import read_window, stage, write_alert_parts
 from relaylens.sinks.state import DailyState
 from relaylens.sources.messages import messages
@@ -171,6 +174,25 @@ def q_load_audit(spark, sf_dir):
     return audit.select("TableName", "WindowID", "source_count", "delta_count", "synapse_count", "count_validation", "no_columns", "window_inserts", "restore_version")
 
 
+#: Loads whose audit rows are asked for: the months of the year in so many parts.
+AUDITED_LOADS = 6
+
+
+def q_audit_recent(spark, sf_dir):
+    """The ten newest of the audit rows that loads of detail and summary have written."""
+    apply_semantic_conf(spark)
+    database = f"q_{uuid.uuid4().hex[:12]}"
+    tables = create_lake_tables(spark, database, scratch(spark, "lake"))
+    rows = stage(with_parsed_times(messages(spark, sf_dir)), "rows", f"audited-{uuid.uuid4().hex}")
+    for k in range(AUDITED_LOADS):
+        part, window = rows.where(F.month("Sent_Date") % AUDITED_LOADS == k), f"2021010{k + 1}0000"
+        n = part.count()
+        load_one_table(spark, normalize_detail(part, window), DETAIL_TABLE, tables, window, n, None)
+        load_one_table(spark, summary_from_stats(daily_stats(part), window), SUMMARY_TABLE, tables, window, n, None)
+    recent = recent_loads(spark.table(tables.audit), 10)
+    return recent.select("TableName", "WindowID", "source_count", "delta_count", "synapse_count", "count_validation", "no_columns", "window_inserts", "restore_version")
+
+
 def _slices(spark, sf_dir) -> DataFrame:
     """Totals of the daily state after the files came in slices."""
     inbox = _inbox(spark, sf_dir, "slices", folder_of=F.col("file_no") % SLICES)
@@ -292,6 +314,7 @@ LOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inbox_rows": q_inbox_rows,
     "load_detail": q_load_detail,
     "load_audit": q_load_audit,
+    "audit_recent": q_audit_recent,
     "slices_summary": q_slices_summary,
     "slices_alerts": q_slices_alerts,
     "distinct_across_loads": q_distinct_across_loads,

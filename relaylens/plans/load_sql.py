@@ -43,6 +43,21 @@ c AS (SELECT a.n AS n0, a.s AS s0, a.failed AS failed0, b.n AS n1, b.s AS s1 FRO
 {" UNION ALL ".join(rows)}"""
 
 
+def _recent() -> str:
+    return f"""{R._WITH_M},
+l AS (
+  SELECT CAST(month("Sent_Date") % 6 AS BIGINT) AS k, count(*) AS n,
+         count(DISTINCT ("SRC_LOB", {R._EFF})) FILTER (WHERE "SRC_LOB" IS NOT NULL AND {R._EFF} IS NOT NULL) AS s
+  FROM m GROUP BY 1),
+w AS (
+  SELECT k, '2021010' || (k + 1) || '0000' AS "WindowID", n, s, CAST(sum(n) OVER (ORDER BY k) AS BIGINT) AS all_n, CAST(sum(s) OVER (ORDER BY k) AS BIGINT) AS all_s FROM l),
+a AS (
+  SELECT 'DetailTable' AS "TableName", "WindowID", n AS source_count, all_n AS delta_count, CAST(NULL AS BIGINT) AS synapse_count,
+         CAST(NULL AS VARCHAR) AS count_validation, CAST(27 AS BIGINT) AS no_columns, n AS window_inserts, k + 1 AS restore_version FROM w
+  UNION ALL SELECT 'SummaryTable', "WindowID", n, all_s, NULL, NULL, 9, s, k + 1 FROM w)
+SELECT * FROM a ORDER BY "WindowID" DESC, "TableName" LIMIT 10"""
+
+
 def _overlaps() -> str:
     loads = ['CAST("ROW_NUMBER" AS INT) % 2 = 0', 'CAST("ROW_NUMBER" AS INT) % 3 = 0', "true"]
     union = " UNION ALL ".join(f"SELECT * FROM m0 WHERE {w}" for w in loads)
@@ -144,6 +159,7 @@ def oracle_sql() -> dict[str, str]:
         "inbox_rows": f"{files} SELECT {raw} FROM m",
         "load_detail": f"{files}, {R._DETAIL_CTE} SELECT * FROM d",
         "load_audit": _audit(),
+        "audit_recent": _recent(),
         "slices_summary": f"{files}, {merged}",
         "slices_alerts": f"{files}, {R._RATES_CTE}, {R._ALERTS_CTE} SELECT * FROM a",
         "distinct_across_loads": _overlaps(),

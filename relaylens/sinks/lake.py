@@ -102,3 +102,9 @@ def stage_counted(df: DataFrame, name: str, window_id: str) -> tuple[DataFrame,
     obs = Observation(f"stage_{name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+
+
+def unstage(spark: SparkSession, name: str, window_id: str) -> None:
+    """Remove a staged frame that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/staging/{window_id}/{name}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
