@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,14 +54,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
+#: Lists of paths that ``recorded`` blocks keep at present.
+_RECORDS: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for paths in _RECORDS:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that ``saved`` writes within the block."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS[:] = [p for p in _RECORDS if p is not paths]
+
+
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``saved`` wrote and nothing reads any more; the list is empty afterwards."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def lower_ascii(column):
     return F.translate(column, UPPER, UPPER.lower())
 
