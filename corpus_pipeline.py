@@ -3,18 +3,45 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 kept and returns a DataFrame with the columns of ``documents`` (the last one: the
 token counts and digests). Stages are written as Parquet in between.
+
+A stage's result is a plan over tables that the stage has written to the shared
+folder. These are removed when the next stage begins, so a result must have been
+written by then, as ``run`` does; the last stage's tables stay.
+
+Defined results: rows of null, empty, blank or very long text, repeated rows and rows
+without an id pass every stage as its module states (a null text is never toxic, a
+duplicate or contaminated); empty tables give empty results; only the columns of
+``documents`` are kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaylens.llm import bpe, decontam, minhash, substring, toxicity
-from relaylens.llm.common import saved, table
+from relaylens.llm.common import recorded, removed, saved, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Tables that the stage before wrote for itself.
+_SPENT: list[str] = []
+
+
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``work``, which first removes the tables of the stage before it."""
+
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        removed(spark, _SPENT)
+        with recorded() as paths:
+            out = work(spark, docs, sf_dir)
+        _SPENT.extend(paths)
+        return out
+
+    return stage
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the rejection threshold."""
@@ -47,11 +74,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("minhash_near_dedup", drop_near_duplicates),
-    ("substring_dedup", cut_repeated_lines),
-    ("benchmark_decontamination", drop_contaminated),
-    ("bpe", encode),
+    ("toxicity", _stage(drop_toxic)),
+    ("minhash_near_dedup", _stage(drop_near_duplicates)),
+    ("substring_dedup", _stage(cut_repeated_lines)),
+    ("benchmark_decontamination", _stage(drop_contaminated)),
+    ("bpe", _stage(encode)),
 ]
 
 #: The first stages learn and cluster, which SQL can't express.
