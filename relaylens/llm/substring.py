@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaylens.llm.common import saved, small_batches
+from relaylens.llm.common import recorded, removed, saved, small_batches
 
 #: Shorter units recur by chance ("Yes.") and always stay.
 MIN_WORDS = 5
@@ -180,13 +180,15 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
             own = batch[["_id", "_h"]].iloc[rows].reset_index(drop=True)
             yield pd.concat([own, pd.DataFrame(out, columns=["digest", "start", "end"])], axis=1)
 
-    found = saved(source.mapInPandas(find, f"_id {kind}, _h bigint, anchor bigint"), "passage-anchors")
-    again = saved(found.groupBy("anchor").count().where("count > 1").select("anchor"), "passage-repeated")
-    hot = found.join(again, "anchor").groupBy("_id", "_h").agg(F.collect_set("anchor").alias("_anchors"))
-    hot = hot.withColumnRenamed("_id", "_hot_id").withColumnRenamed("_h", "_hot_h")
-    marked = source.join(hot, F.col("_id").eqNullSafe(F.col("_hot_id")) & (F.col("_h") == F.col("_hot_h"))).drop("_hot_id", "_hot_h")
-    units = marked.mapInPandas(passages, f"_id {kind}, _h bigint, digest binary, start int, end int")
-    return repeated_units(saved(units, "passage-units"))
+    with recorded() as tables:
+        found = saved(source.mapInPandas(find, f"_id {kind}, _h bigint, anchor bigint"), "passage-anchors")
+        again = saved(found.groupBy("anchor").count().where("count > 1").select("anchor"), "passage-repeated")
+        hot = found.join(again, "anchor").groupBy("_id", "_h").agg(F.collect_set("anchor").alias("_anchors"))
+        hot = hot.withColumnRenamed("_id", "_hot_id").withColumnRenamed("_h", "_hot_h")
+        marked = source.join(hot, F.col("_id").eqNullSafe(F.col("_hot_id")) & (F.col("_h") == F.col("_hot_h"))).drop("_hot_id", "_hot_h")
+        units = saved(marked.mapInPandas(passages, f"_id {kind}, _h bigint, digest binary, start int, end int"), "passage-units")
+    removed(docs.sparkSession, tables[:-1])  # all but the units are spent
+    return repeated_units(units)
 
 
 def cut_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = PASSAGE_WORDS) -> DataFrame:
