@@ -23,8 +23,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier ranked document, or line, already has."""
-    out = substring.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document without the lines and passages of 50 words and more that an earlier ranked place already has."""
+    out = substring.deduplicate_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.size("removed_spans").cast("long").alias("n_removed"), "removed_spans", "text")
 
 

@@ -9,10 +9,14 @@ meet the units again, in a plain equi-join whose hot keys adaptive execution spl
 ``cut_passages`` does the same for 50 consecutive words wherever they stand in
 lines. Anchors (least hashes of windows of 25-word runs) find those that may recur.
 
+``deduplicate_passages`` leaves short repeated lines alone, such as a salutation:
+of the repeated lines it cuts those in stretches of neighbours with 50 words in all,
+then passages of 50 words within the text between these cuts.
+
 Defined results: units of fewer than ``min_words`` words always stay; null and
 empty texts have no units (a null text stays null); a null id ranks after all
 others; rows that share id and text are the same document and lose the same units;
-extra columns are kept by ``deduplicate`` (but for those it names itself).
+extra columns are kept, whatever their names (but for ``removed_spans``).
 """
 
 from __future__ import annotations
@@ -38,12 +42,12 @@ PASSAGE_WORDS = 50
 _WORD = re.compile(r"\S+")
 
 
-def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of each unit of enough words."""
+def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes, int]]:
+    """(start, end, digest, words) of each unit of enough words."""
     for m in _SPLIT[unit].finditer(text):
         words = m.group().lower().split()
         if len(words) >= min_words:
-            yield m.start(), m.end(), hashlib.blake2b(" ".join(words).encode("utf-8"), digest_size=16).digest()
+            yield m.start(), m.end(), hashlib.blake2b(" ".join(words).encode("utf-8"), digest_size=16).digest(), len(words)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -58,21 +62,21 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def hash_units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """(_id, _h, digest, start, end) of every unit of every whole text; _h hashes the text."""
+    """(_id, _h, digest, start, end, no, words) of every unit of every whole text; _h hashes the text, no numbers its units."""
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_h"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     kind = source.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(i, s, e, d) for i, text in enumerate(batch["_text"]) for s, e, d in units_of(text, unit, min_words)]
-            out = pd.DataFrame(rows, columns=["i", "start", "end", "digest"])
+            rows = [(i, no, *found) for i, text in enumerate(batch["_text"]) for no, found in enumerate(units_of(text, unit, min_words))]
+            out = pd.DataFrame(rows, columns=["i", "no", "start", "end", "digest", "words"])
             at = out.pop("i").to_numpy(dtype=int)
             out.insert(0, "_id", batch["_id"].to_numpy()[at])
             out.insert(1, "_h", batch["_h"].to_numpy()[at])
-            yield out[["_id", "_h", "digest", "start", "end"]]
+            yield out[["_id", "_h", "digest", "start", "end", "no", "words"]]
 
-    return source.mapInPandas(run, f"_id {kind}, _h bigint, digest binary, start int, end int")
+    return source.mapInPandas(run, f"_id {kind}, _h bigint, digest binary, start int, end int, no int, words int")
 
 
 def repeated_units(units: DataFrame) -> DataFrame:
@@ -113,16 +117,18 @@ def without(docs: DataFrame, units: DataFrame, id_column: str, text_column: str)
     gone = gone.withColumn("_spans", merged(F.col("_spans.start"), F.col("_spans.end")))
     gone = gone.withColumnRenamed("_id", "_gone_id").withColumnRenamed("_h", "_gone_h")
     kept = [c for c in docs.columns if c != "removed_spans"]
-    rows = docs.select(*kept).withColumn("_h", F.xxhash64(text_column))
-    joined = rows.join(gone, F.col(id_column).eqNullSafe(F.col("_gone_id")) & (F.col("_h") == F.col("_gone_h")), "left")
+    # the row goes as one struct, so that its column names can't clash with ours
+    rows = docs.select(F.struct(*kept).alias("_row"), F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_h"))
+    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_h") == F.col("_gone_h")), "left")
 
     @F.pandas_udf("string")
     def cut_all(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
         return pd.Series([t if s is None else cut(t, list(zip(s, e))) for t, s, e in zip(texts, starts, ends)], dtype=object)
 
-    text = cut_all(F.col(text_column), F.col("_spans.start"), F.col("_spans.end"))
+    text = cut_all(F.col("_row")[text_column], F.col("_spans.start"), F.col("_spans.end"))
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    return joined.withColumn(text_column, text).withColumn("removed_spans", F.coalesce("_spans", empty)).select(*kept, "removed_spans")
+    columns = [text.alias(c) if c == text_column else F.col("_row")[c].alias(c) for c in kept]
+    return joined.select(*columns, F.coalesce("_spans", empty).alias("removed_spans"))
 
 
 def word_hashes(text: str, k: int) -> tuple[list[str], list[tuple[int, int]], np.ndarray]:
@@ -145,49 +151,76 @@ def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(views.argmin(axis=1) + np.arange(len(views)))
 
 
-def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = PASSAGE_WORDS) -> DataFrame:
+def outside(starts: np.ndarray, ends: np.ndarray, gone: list[tuple[int, int]]) -> np.ndarray:
+    """Whether places from starts to ends share no character with the sorted spans that are gone."""
+    if not gone:
+        return np.ones(len(starts), dtype=bool)
+    first, last = np.array(gone).T
+    after = np.searchsorted(last, starts, side="right")  # the first span that ends behind the start
+    return (after == len(last)) | (first[np.minimum(after, len(last) - 1)] >= ends)
+
+
+def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = PASSAGE_WORDS, gone: DataFrame | None = None) -> DataFrame:
     """(_id, _h, digest, start, end) of every ``words`` consecutive words that an earlier ranked place has too.
 
     Each such passage holds an anchor of ``words // 2`` words; only passages around anchors that recur are hashed.
+    ``gone``, (_id, _h, spans) with one row a document, names text that no passage may touch, on either side.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     k = max(1, words // 2)
     window = words - k + 1
     source = docs.select(F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_h"), F.col(text_column).alias("_text")).where("_text IS NOT NULL")
     kind = source.schema["_id"].dataType.simpleString()
+    spans = "array<struct<start:int,end:int>>"
+    gone = spark.createDataFrame([], f"_id {kind}, _h bigint, spans {spans}") if gone is None else gone
+    gone = gone.select(F.col("_id").alias("_gone_id"), F.col("_h").alias("_gone_h"), F.col("spans.start").alias("_from"), F.col("spans.end").alias("_to"))
+
+    def beside_gone(rows: DataFrame) -> DataFrame:
+        on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_h") == F.col("_gone_h"))
+        return rows.join(gone, on, "left").drop("_gone_id", "_gone_h")
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, out = [], [np.empty(0, np.uint64)]
-            for i, text in enumerate(batch["_text"]):
-                hashes = word_hashes(text, k)[2]
-                out.append(hashes[anchors(hashes, window)])
-                rows += [i] * len(out[-1])
-            own = batch[["_id", "_h"]].iloc[rows].reset_index(drop=True)
-            yield own.assign(anchor=np.concatenate(out).view(np.int64))
+            found = []
+            for text in batch["_text"]:
+                _, places, hashes = word_hashes(text, k)
+                at = anchors(hashes, window)
+                found.append((hashes[at].view(np.int64), [places[p][0] for p in at], [places[p + k - 1][1] for p in at]))
+            yield pd.concat([batch[["_id", "_h"]], pd.DataFrame(found, columns=["anchors", "start", "end"], index=batch.index)], axis=1)
+
+    @F.pandas_udf("array<bigint>")
+    def left_over(found: pd.Series, starts: pd.Series, ends: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
+        rows = zip(found, starts, ends, first, last)
+        return pd.Series([a if f is None else np.asarray(a)[outside(np.asarray(s), np.asarray(e), list(zip(f, t)))] for a, s, e, f, t in rows], dtype=object)
 
     def passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, out = [], []
-            for i, (text, known) in enumerate(zip(batch["_text"], batch["_anchors"])):
+            for i, (text, known, begin, to) in enumerate(zip(batch["_text"], batch["_anchors"], batch["_from"], batch["_to"])):
                 low, places, hashes = word_hashes(text, k)
                 at = anchors(hashes, window)
                 at = at[np.isin(hashes[at].view(np.int64), np.asarray(known, np.int64))]
                 first = np.unique((at[:, None] - np.arange(window)).ravel())
-                first = first[(first >= 0) & (first <= len(low) - words)].tolist()
+                first = first[(first >= 0) & (first <= len(low) - words)]
+                if begin is not None and len(first):
+                    place = np.array(places)
+                    first = first[outside(place[first, 0], place[first + words - 1, 1], list(zip(begin, to)))]
                 rows += [i] * len(first)
-                out += [(hashlib.blake2b(" ".join(low[p : p + words]).encode("utf-8"), digest_size=16).digest(), places[p][0], places[p + words - 1][1]) for p in first]
+                out += [(hashlib.blake2b(" ".join(low[p : p + words]).encode("utf-8"), digest_size=16).digest(), places[p][0], places[p + words - 1][1]) for p in first.tolist()]
             own = batch[["_id", "_h"]].iloc[rows].reset_index(drop=True)
             yield pd.concat([own, pd.DataFrame(out, columns=["digest", "start", "end"])], axis=1)
 
     with recorded() as tables:
-        found = saved(source.mapInPandas(find, f"_id {kind}, _h bigint, anchor bigint"), "passage-anchors")
+        found = beside_gone(source.mapInPandas(find, f"_id {kind}, _h bigint, anchors array<bigint>, start array<int>, end array<int>"))
+        found = found.select("_id", "_h", left_over("anchors", "start", "end", "_from", "_to").alias("anchors")).where("size(anchors) > 0")
+        found = saved(found, "passage-anchors").select("_id", "_h", F.explode("anchors").alias("anchor"))
         again = saved(found.groupBy("anchor").count().where("count > 1").select("anchor"), "passage-repeated")
-        hot = found.join(again, "anchor").groupBy("_id", "_h").agg(F.collect_set("anchor").alias("_anchors"))
+        hot = beside_gone(found.join(again, "anchor").groupBy("_id", "_h").agg(F.collect_set("anchor").alias("_anchors")))
         hot = hot.withColumnRenamed("_id", "_hot_id").withColumnRenamed("_h", "_hot_h")
         marked = source.join(hot, F.col("_id").eqNullSafe(F.col("_hot_id")) & (F.col("_h") == F.col("_hot_h"))).drop("_hot_id", "_hot_h")
         units = saved(marked.mapInPandas(passages, f"_id {kind}, _h bigint, digest binary, start int, end int"), "passage-units")
-    removed(docs.sparkSession, tables[:-1])  # all but the units are spent
+    removed(spark, tables[:-1])  # all but the units are spent
     return repeated_units(units)
 
 
@@ -195,3 +228,36 @@ def cut_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """Rows without the passages of ``words`` words that an earlier ranked place has too, wherever in a line they stand;
     ``removed_spans`` as of ``deduplicate``. Each word cut has a copy that ranks before it."""
     return without(docs, repeated_passages(docs, id_column, text_column, words), id_column, text_column)
+
+
+def stretches(units: Iterator[tuple[int, int, int, int]], words: int) -> list[dict[str, int]]:
+    """Spans of the units (no, words, start, end) in runs of consecutive numbers that have ``words`` words in all."""
+    runs: list[list[tuple[int, int, int, int]]] = []
+    for unit in sorted(units):
+        if runs and runs[-1][-1][0] + 1 == unit[0]:
+            runs[-1].append(unit)
+        else:
+            runs.append([unit])
+    return [{"start": int(s), "end": int(e)} for run in runs if sum(u[1] for u in run) >= words for _, _, s, e in run]
+
+
+def deduplicate_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", unit: str = "line", words: int = PASSAGE_WORDS) -> DataFrame:
+    """Rows without repeated lines in stretches of ``words`` words, and without passages of ``words`` words that repeat in
+    the text between these; ``removed_spans`` as of ``deduplicate``. Shorter repetitions stay. Each word cut has a copy
+    that ranks before it."""
+    spark = docs.sparkSession
+    small_batches(spark)
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def long_ones(nos: pd.Series, counts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([stretches(zip(*unit), words) for unit in zip(nos, counts, starts, ends)], dtype=object)
+
+    with recorded() as tables:
+        units = saved(hash_units(docs, id_column, text_column, unit, 1), "substring-units")
+        again = repeated_units(units).groupBy("_id", "_h").agg(F.collect_set(F.struct("no", "words", "start", "end")).alias("_u"))
+        spans = again.select("_id", "_h", long_ones("_u.no", "_u.words", "_u.start", "_u.end").alias("spans")).where("size(spans) > 0")
+        lines = saved(spans, "substring-stretches")
+    removed(spark, tables[:-1])  # the lines' units are spent
+    passages = repeated_passages(docs, id_column, text_column, words, lines).select("_id", "_h", "start", "end")
+    cuts = lines.select("_id", "_h", F.inline("spans")).unionByName(passages)
+    return without(docs, cuts, id_column, text_column)

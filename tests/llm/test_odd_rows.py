@@ -63,6 +63,20 @@ def test_substring_rows_without_id_share_a_first_line(spark):
     assert sum(line in t for t in texts) == sum("alone" in t for t in texts) == 1
 
 
+def test_substring_passages(odd_docs, no_docs, spark):
+    assert substring.deduplicate_passages(odd_docs).count() == odd_docs.count()
+    assert substring.deduplicate_passages(no_docs).count() == 0
+    short, long = "one two three four five six", " ".join(f"w{i}" for i in range(30))
+    more = long.upper().replace("W", "v")
+    # user columns that share names with helper columns; a short repeated line stays, two that make a stretch go
+    rows = [(1, f"{long}\n{short}\nx\n{more}", 7, "a"), (2, f"{short}\ny", 8, None), (3, f"z\n{long}\n\n{more}\ny1", 9, "c"), (None, None, None, "d"), (4, f"{more}\nq", 1, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h int, _spans string")
+    got = {r["doc_id"]: (r["text"], r["_h"], r["_spans"], [tuple(s) for s in r["removed_spans"]]) for r in substring.deduplicate_passages(docs).collect()}
+    at = 2 + len(long)
+    assert got[3] == ("z\n\ny1", 9, "c", [(2, at), (at + 2, at + 2 + len(more))])
+    assert [got[i] for i in (1, 2, None, 4)] == [(t, h, s, []) for i, t, h, s in rows if i != 3]
+
+
 def test_pipeline_stage_cuts_passages_within_lines(spark, odd_docs, no_docs):
     import corpus_pipeline as P
 

@@ -47,21 +47,40 @@ def test_quality_metrics_equal_brute_force(spark, sf):
 
 
 def test_substring_dedup_equals_brute_force(spark, sf):
+    """Repeated lines in stretches of 50 words go, then 50-word passages between them; the first place, by (doc_id, offset), stays."""
     got = {r["doc_id"]: r for r in Q.op3_substring_dedup(spark, sf).collect()}
-    seen, docs = set(), sorted(rows_of(spark, sf, "documents"), key=lambda d: d["doc_id"])
+    docs = sorted(rows_of(spark, sf, "documents"), key=lambda d: d["doc_id"])
+    seen, gone = set(), defaultdict(set)
     for d in docs:
-        left, spans, at = [], [], 0
-        for line in (d["text"] or "").split("\n"):
-            key = " ".join(line.lower().split())
-            if len(key.split()) >= 5 and key in seen:
-                spans.append((at, at + len(line)))
-            else:
-                left.append(line)
-                seen.add(key)
-            at += len(line) + 1
-        r = got[d["doc_id"]]
-        assert [tuple(s) for s in r["removed_spans"]] == spans
-        assert r["text"].rstrip("\n") == "\n".join(left).rstrip("\n")
+        run, runs = [], []
+        for m in re.finditer(r"[^\n]+", d["text"] or ""):
+            key = " ".join(m.group().lower().split())
+            if key and key in seen:
+                run.append(m)
+            elif key:
+                runs.append(run)
+                run = []
+            seen.add(key)
+        for run in [*runs, run]:
+            if sum(len(m.group().split()) for m in run) >= 50:
+                for m in run:
+                    gone[d["doc_id"]].update(range(*m.span()))
+    seen, lines = set(), {i: set(c) for i, c in gone.items()}
+    for d in docs:
+        words = list(re.finditer(r"\S+", d["text"] or ""))
+        for p in range(len(words) - 49):
+            chars = range(words[p].start(), words[p + 49].end())
+            if not lines.get(d["doc_id"], set()).isdisjoint(chars):
+                continue
+            key = " ".join(w.group().lower() for w in words[p : p + 50])
+            if key in seen:
+                gone[d["doc_id"]].update(chars)
+            seen.add(key)
+    assert len(got) == len(docs) and any(gone.values())
+    for d in docs:
+        spans = [tuple(s) for s in got[d["doc_id"]]["removed_spans"]]
+        assert {c for s in spans for c in range(*s)} == gone[d["doc_id"]]
+        assert got[d["doc_id"]]["text"].split() == "".join(" " if i in gone[d["doc_id"]] and c == "\n" else "" if i in gone[d["doc_id"]] else c for i, c in enumerate(d["text"] or "")).split()
 
 
 def test_minhash_equals_brute_force(spark, sf):
