@@ -57,11 +57,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines, and passages within lines, that stand earlier in the corpus; n_chars follows the text."""
-    with recorded() as tables:
-        lines = saved(substring.deduplicate(docs.select(*COLUMNS)).select(*COLUMNS), "substring-lines")
-    removed(spark, tables[:-1])  # the lines' units are spent
-    out = substring.cut_passages(lines).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Documents without lines and passages of 50 words and more that stand earlier in the corpus; n_chars follows the text."""
+    out = substring.deduplicate_passages(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long"))
     return out.select(*COLUMNS)
 
 
