@@ -29,7 +29,6 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -349,7 +348,7 @@ class Places:
 
     def __init__(self, known: np.ndarray):
         self.known, self.gold = known, np.uint64(0x9E3779B97F4A7C15)
-        bits = max(10, int(len(known) * 4).bit_length())
+        bits = max(10, int(len(known) * 2).bit_length())
         self.shift = np.uint64(64 - bits)
         self.table = np.zeros(1 << bits, dtype=np.int32)
         self.table[((known * self.gold) >> self.shift).astype(np.int64)] = np.arange(len(known), dtype=np.int32)
@@ -362,11 +361,16 @@ class Places:
         return at
 
 
-def _sorted(found: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    own = found["kind"].to_numpy() == kind
-    key = found["key"].to_numpy()[own].view(np.uint64)
+def _sorted(found: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of a kind and their values, taken batch by batch."""
+    keys, values = [np.empty(0, dtype=np.uint64)], [np.empty(0)]
+    for batch in found.to_batches():
+        own = batch.column("kind").to_numpy() == kind
+        keys.append(batch.column("key").to_numpy()[own].view(np.uint64))
+        values.append(batch.column("value").to_numpy()[own])
+    key, value = np.concatenate(keys), np.concatenate(values)
     order = np.argsort(key)
-    return key[order], found["value"].to_numpy()[own][order]
+    return key[order], value[order]
 
 
 def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -409,15 +413,15 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     base = math.log10(n_train + 0.5 * (vocabulary + 1))
     rest = math.log10(0.5) - base  # of a token that the training part lacks
-    fields = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
+    fields = f"_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
 
-    def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    def score(texts: pa.Table, found: pa.Table) -> pa.Table:
         gram_keys, per_gram = _sorted(found, _NGRAM)
         token_keys, per_known = _sorted(found, _TOKEN)
         logs = np.log10(per_known + 0.5) - base
         gram_places, token_places, hashes = Places(gram_keys), Places(token_keys), WordHashes()
         out: list[tuple[np.ndarray, ...]] = []
-        for data in chunks(texts["_text"]):
+        for data in chunks(t.as_py() for t in texts.column("_text")):
             n_bytes = np.array([len(t) for t in data], dtype=np.int64)
             per_byte = per_gram[gram_places.of(grams(data, depth).astype(np.uint64))]
             scores = np.add.reduceat(per_byte, np.concatenate(([0], np.cumsum(n_bytes + 1)[:-1])))
@@ -438,11 +442,10 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0)] * 5
         del gram_keys, per_gram, gram_places, token_keys, per_known, token_places, hashes, out
         give_back()
-        frame = pd.DataFrame({"_id": texts["_id"], "held_out": texts["held_out"], "n_tokens": columns[0], "n_known": columns[1]})
-        frame["train_tokens"], frame["base_score"], frame["score"], frame["n_bytes"] = n_train, columns[2], columns[3], columns[4]
-        frame["bits_per_byte"] = -columns[3] * math.log2(10) / (columns[4] + 1)
-        return frame
+        per_text = [pa.array(c) for c in (*columns[:2], np.full(len(columns[0]), n_train), *columns[2:], -columns[3] * math.log2(10) / (columns[4] + 1))]
+        named = ["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"]
+        return pa.table([texts.column("_id"), texts.column("held_out"), *per_text], names=named)
 
     together = placed.groupBy("block").cogroup(answers.groupBy("block"))
-    scored = together.applyInPandas(score, f"_id {kind}, held_out boolean, {fields}")
+    scored = together.applyInArrow(score, fields)
     return scored.withColumnRenamed("_id", id_column)
