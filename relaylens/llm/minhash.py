@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaylens.llm.common import saved, small_batches
+from relaylens.llm.common import recorded, removed, saved, small_batches
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
@@ -264,16 +264,23 @@ def bucket_pairs(members: DataFrame, found: DataFrame, fine: DataFrame, nearest:
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT, bands: int = BANDS, width: int = BINS_A_BAND) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row."""
-    rows = saved(sketch_documents(docs, id_column, text_column, shingle_words, bands, width), "sketches")
-    linked = rows.where("digest IS NOT NULL AND _id IS NOT NULL")
+    spark = docs.sparkSession
+    with recorded() as tables:
+        sketches = saved(sketch_documents(docs, id_column, text_column, shingle_words, bands, width), "sketches")
+    rows = saved(sketches.select("_id", "n_shingles", "digest"), "sets")
+    named = F.col("digest").isNotNull() & F.col("_id").isNotNull()
+    linked = rows.where(named)
     classes = saved(linked.groupBy("digest").agg(F.min("_id").alias("rep")), "classes")
-    reps = linked.join(classes.withColumnRenamed("digest", "_d"), (F.col("digest") == F.col("_d")) & (F.col("_id") == F.col("rep"))).select("rep", "bands", "fine")
+    reps = sketches.where(named).join(classes.withColumnRenamed("digest", "_d"), (F.col("digest") == F.col("_d")) & (F.col("_id") == F.col("rep"))).select("rep", "bands", "fine")
     reps = saved(reps, "reps")
+    removed(spark, tables)  # from here on a class has one sketch
     fine = reps.select("rep", "fine", "bands")
-    placed = saved(reps.select(F.explode("bands").alias("key"), "rep"), "bands")
+    with recorded() as tables:
+        placed = saved(reps.select(F.explode("bands").alias("key"), "rep"), "bands")
     order = F.struct(F.xxhash64("rep").alias("order"), F.col("rep").alias("rep"))
     buckets = placed.groupBy("key").agg(F.min(order).alias("_m"), F.count("*").alias("_n")).where("_n > 1").select("key", F.col("_m.rep").alias("leader"))
     members = saved(placed.join(buckets, "key"), "members")
+    removed(spark, tables)  # members hold the keys of more than one class
 
     shared = members.where("rep != leader").groupBy("rep", "leader").agg(F.count("*").alias("n"))
     best = shared.groupBy("rep").agg(F.max(F.struct("n", F.col("leader"))).alias("_b"))
