@@ -3,16 +3,18 @@
 Each element has features of its subtree (text, link and punctuation density, tags),
 its attribute tokens and those above it, its depth, and its place among its
 siblings. Trees are boosted on a bounded sample of pages with weak labels: what
-stands in ``article`` or ``main`` and in no boilerplate element is content. So that
-the model doesn't rest on these tags alone, each sample page is also seen with
-sidebars, notices, forms and comments put in and with its tags and attributes
-changed for neutral or other usual ones. Decoding takes the best labelling in which
-an element that is content (or boilerplate) as a whole has only such descendants.
+stands in ``article`` or ``main`` (on a page without them, in the innermost container
+that holds most of the text) and in no boilerplate element is content. So that
+the model doesn't rest on these tags alone, each sample page is also seen with its
+tags and attributes changed for neutral or other usual ones and, where its article is
+marked, with sidebars, notices, forms and comments put in. Decoding takes the best
+labelling in which an element that is content (or boilerplate) as a whole has only such
+descendants; only elements labelled mixed have parts of both kinds.
 
 Defined results: a null or empty page has an empty text; markup that doesn't close
 is closed as browsers do; a page of bare text is one block; repeated rows give
-equal results; without pages to learn from, a fixed score of tokens and densities
-stands in for the trees; extra columns are ignored.
+equal results; where no page is short enough to learn from, each page's own weak
+labels stand in for the trees; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from relaylens.llm.common import small_batches
 SAMPLE_PAGES = 300
 SAMPLE_CHARS = 50_000
 TREES, TREE_DEPTH, RATE, BINS = 30, 3, 0.3, 32
-#: What a change of label between an element and its parent costs, in log odds.
+#: What a part costs that differs from what its mixed parent leans to, in log odds.
 SWITCH = 2.0
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|[^<]+|<""", re.S)
@@ -48,6 +50,7 @@ HIDDEN = frozenset("script style textarea title noscript iframe xmp template svg
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CLOSES_P = BLOCK - frozenset("body html tbody td tfoot th thead tr caption legend".split())
 SCOPE = frozenset("html table td th caption".split())
+CONTAINERS = frozenset("html body div section center table tbody tr td dl dd".split())
 # Attribute tokens that commonly mark boilerplate and content.
 BAD = frozenset("ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer foot form gdpr header login masthead menu modal nav navbar navigation newsletter notice pagination pager popup promo promoted recommended related reply replies respond search share sharing side sidebar signup social sponsor sponsored subscribe tags toc toolbar topbar widget".split())
 GOOD = frozenset("article articlebody body content entry hentry main maintext post postbody story text".split())
@@ -275,32 +278,58 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TREES,
     return Forest(base, np.array(out_f), np.array(out_s), np.array(out_v))
 
 
-def fixed_odds(x: np.ndarray) -> np.ndarray:
-    """Stands in for a forest where there is nothing to learn from."""
-    col = {name: x[:, i] for i, name in enumerate(NAMES)}
-    return np.clip(1.0 + col["good"] + col["good_above"] - 2 * (col["bad"] + col["bad_above"]) - 4 * (col["link_share"] - 0.3) - col["controls"], -6, 6)
+def weak_odds(page: Page) -> np.ndarray:
+    """Stands in for a forest where no page could be learned from: the page's own weak labels."""
+    return np.array([{1: 3.0, 0: -3.0, -1: 0.0}[label] for label in weak_labels(page)])
 
 
-def decode(page: Page, odds: np.ndarray, own: list[int]) -> list[bool]:
-    """Per element whether its own text is content, in the best labelling of the tree.
+#: Labels of an element: all its text is content, none is, or its parts have labels of their own; what is mixed leans to one side.
+WHOLE, NONE, MIXED_CONTENT, MIXED_OTHER = range(4)
+
+
+def label_tree(page: Page, odds: np.ndarray, own: list[int]) -> tuple[list[int], list[bool]]:
+    """(label, whether its own text is content) per element, in the best labelling of the tree.
 
-    An element's label holds for all of its subtree, but for descendants that pay
-    ``SWITCH`` to differ, so a stray score can't contradict what stands around it.
-    ``inside[i]`` (``outside[i]``) is the best gain of i's subtree if i is content (is not).
+    All descendants of a whole (none) element are whole (none); only mixed elements have children of both labels. Text
+    of its own in a mixed element is a part beside its blocks, so an element with text and without blocks within is never
+    mixed. Each part that differs from what its mixed parent leans to costs ``SWITCH``, so that a stray score can't
+    outweigh what stands around it.
     """
     n = len(own)
-    if n == 1:
-        return [True]  # bare text
-    inside = [float(o) * math.log1p(k) for o, k in zip(np.clip(odds, -6, 6), own)]
-    outside = [0.0] * n
-    for i in range(n - 1, 0, -1):
-        up = page.parents[i]
-        inside[up] += max(inside[i], outside[i] - SWITCH)
-        outside[up] += max(outside[i], inside[i] - SWITCH)
-    keep = [inside[0] > outside[0]] * n
+    gain = [float(o) * math.log1p(k) for o, k in zip(np.clip(odds, -6, 6), own)]
+    splits = [not k for k in own]
     for i in range(1, n):
-        keep[i] = inside[i] >= outside[i] - SWITCH if keep[page.parents[i]] else inside[i] - SWITCH > outside[i]
-    return keep
+        splits[page.parents[i]] |= page.tags[i] in BLOCK
+    best = [[g, 0.0, max(g, -SWITCH), max(0.0, g - SWITCH)] if may else [g, 0.0, -math.inf, -math.inf] for g, may in zip(gain, splits)]
+
+    def under(scores: list[float], parent: int) -> list[float]:
+        """The scores of a part's labels below a mixed parent."""
+        costs = (0.0, SWITCH, 0.0, SWITCH) if parent == MIXED_CONTENT else (SWITCH, 0.0, SWITCH, 0.0)
+        return [s - c for s, c in zip(scores, costs)]
+
+    for i in range(n - 1, 0, -1):
+        up = best[page.parents[i]]
+        up[WHOLE] += best[i][WHOLE]
+        for lean in (MIXED_CONTENT, MIXED_OTHER):
+            up[lean] += max(under(best[i], lean))
+    labels = [0] * n
+    for i in range(n):
+        above = labels[page.parents[i]] if i else None
+        if above in (WHOLE, NONE):
+            labels[i] = above
+        else:
+            scores = best[i] if above is None else under(best[i], above)
+            # of equal scores the plain label goes first; an empty part follows what is around it
+            labels[i] = max((WHOLE, NONE, MIXED_CONTENT, MIXED_OTHER) if above == MIXED_CONTENT else (NONE, WHOLE, MIXED_OTHER, MIXED_CONTENT), key=scores.__getitem__)
+    keep = [label == WHOLE or label == MIXED_CONTENT and g >= -SWITCH or label == MIXED_OTHER and g > SWITCH for label, g in zip(labels, gain)]
+    return labels, keep
+
+
+def decode(page: Page, odds: np.ndarray, own: list[int]) -> list[bool]:
+    """Per element whether its own text is content."""
+    if len(own) == 1:
+        return [True]  # bare text
+    return label_tree(page, odds, own)[1]
 
 
 def blocks_of(page: Page, keep: list[bool]) -> str:
@@ -342,16 +371,42 @@ def put_in(markup: str, words: list[str], rng: random.Random) -> str:
     return re.sub(r"</(article|main)>", lambda m: m.group() + "".join(after), out, count=1)
 
 
+def main_region(page: Page) -> set[int]:
+    """The elements whose subtrees are the main region: ``article`` and ``main``; on a page without either the innermost
+    container that holds most of the text outside links and boilerplate elements."""
+    marked = {i for i, tag in enumerate(page.tags) if tag in ("article", "main")}
+    if marked:
+        return marked
+    n = len(page.tags)
+    mass, skip = [0] * n, [False] * n
+    for i in range(1, n):
+        up = page.parents[i]
+        skip[i] = skip[up] or page.tags[i] == "a" or marks(page.tags[i], page.attributes[i])[0] > 0
+    for i, piece, _ in page.pieces:
+        mass[i] += 0 if skip[i] else len(piece.strip())
+    heaviest = [0] * n
+    for i in range(n - 1, 0, -1):
+        up = page.parents[i]
+        mass[up] += mass[i]
+        if page.tags[i] in CONTAINERS and mass[i] > mass[heaviest[up]] * (heaviest[up] > 0):
+            heaviest[up] = i
+    at = 0
+    while heaviest[at] and 2 * mass[heaviest[at]] >= mass[at] > 0:
+        at = heaviest[at]
+    return {at}
+
+
 def weak_labels(page: Page) -> list[int]:
     """1 content, 0 boilerplate, -1 neither (it holds both)."""
     n = len(page.tags)
+    roots = main_region(page)
     region, bad = [False] * n, [False] * n
     holds = [False] * n
     for i in range(n):
         up = page.parents[i]
         own_bad, _ = marks(page.tags[i], page.attributes[i])
         inside = up >= 0 and region[up]
-        region[i] = inside or page.tags[i] in ("article", "main")
+        region[i] = inside or i in roots
         # a heading element within an article belongs to it
         bad[i] = (up >= 0 and bad[up]) or (own_bad > 0 and not (inside and page.tags[i] == "header"))
     for i in range(n - 1, 0, -1):
@@ -371,15 +426,14 @@ def disguise(page: Page, labels: list[int], rng: random.Random) -> None:
 
 
 def learn(pages: list[str], seed: int = 7) -> Forest | None:
-    """Boost trees on the sample's pages; None if none of them has a marked article."""
+    """Boost trees on the sample's pages; None if none of them has text."""
     rng = random.Random(seed)
     words = [w for p in pages[:50] for w in re.sub(r"<[^>]*>", " ", p).split()[:200]] or ["text"]
     xs, ys, ws = [], [], []
     for markup in pages:
-        if not re.search(r"<(article|main)\b", markup, re.I):
-            continue
+        marked = re.search(r"<(article|main)", markup) is not None
         for variant in range(3):
-            page = parse(put_in(markup, words, rng) if variant else markup)
+            page = parse(put_in(markup, words, rng) if variant and marked else markup)
             labels = weak_labels(page)
             if variant:
                 disguise(page, labels, rng)
@@ -388,7 +442,7 @@ def learn(pages: list[str], seed: int = 7) -> Forest | None:
             xs.append(x[at])
             ys += [labels[i] for i in at]
             ws += [1 + math.log1p(own[i]) for i in at]
-    if not xs or len(set(ys)) < 2:
+    if not ys:
         return None
     return boost(np.concatenate(xs), np.array(ys, dtype=float), np.array(ws))
 
@@ -399,8 +453,7 @@ def extract(markups: list[str], forest: Forest | None) -> list[str]:
     found = [features(p) for p in parsed]
     if not found:
         return []
-    x = np.concatenate([f[0] for f in found])
-    odds = forest.odds(x) if forest is not None else fixed_odds(x)
+    odds = forest.odds(np.concatenate([f[0] for f in found])) if forest is not None else np.concatenate([weak_odds(p) for p in parsed])
     out, at = [], 0
     for page, (rows, own) in zip(parsed, found):
         out.append(blocks_of(page, decode(page, odds[at : at + len(rows)], own)))
@@ -411,9 +464,9 @@ def extract(markups: list[str], forest: Forest | None) -> list[str]:
 def extract_pages(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """Every row with its main text in ``main_text`` (a column of that name is replaced)."""
     small_batches(pages.sparkSession)
-    marked = pages.where(F.length(html_column).between(1, SAMPLE_CHARS) & F.col(html_column).rlike("(?i)<(article|main)[\\s>]"))
-    n = marked.count()
-    sample = marked.select(F.xxhash64(id_column, html_column).alias("_h"), F.col(html_column).alias("_html"))
+    fit = pages.where(F.length(html_column).between(1, SAMPLE_CHARS))
+    n = fit.count()
+    sample = fit.select(F.xxhash64(id_column, html_column).alias("_h"), F.col(html_column).alias("_html"))
     if n > 4 * sample_pages:  # so that tasks send the driver about twice the sample together
         sample = sample.where(F.pmod("_h", F.lit(1 << 31)) < int(2 * sample_pages / n * (1 << 31)))
     sample = sample.orderBy("_h", "_html").limit(sample_pages)
