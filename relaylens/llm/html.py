@@ -309,9 +309,11 @@ def label_tree(page: Page, odds: np.ndarray, own: list[int]) -> tuple[list[int],
 
     for i in range(n - 1, 0, -1):
         up = best[page.parents[i]]
-        up[WHOLE] += best[i][WHOLE]
-        for lean in (MIXED_CONTENT, MIXED_OTHER):
-            up[lean] += max(under(best[i], lean))
+        whole, none, content, other = best[i]
+        yes, no = max(whole, content), max(none, other)
+        up[WHOLE] += whole
+        up[MIXED_CONTENT] += max(yes, no - SWITCH)
+        up[MIXED_OTHER] += max(no, yes - SWITCH)
     labels = [0] * n
     for i in range(n):
         above = labels[page.parents[i]] if i else None

@@ -6,7 +6,7 @@ the text's words). An entry is kept when its share of toxic texts is above the b
 rate beyond chance (Chernoff bound, corrected for all words tried). Entries stand in
 a trie; a Levenshtein automaton of each text word is intersected with it, so a
 misspelt term is found without listing variants. How far a match of a term at a
-distance can be trusted is measured on all words of the sample.
+distance can be trusted is measured on all words of the sample, those shorter than the term apart.
 
 Scoring: each hit's trust is scaled by its context: a window of words around it
 that quotes or reports (quotation marks around it, reporting verbs, words about
@@ -37,15 +37,13 @@ from relaylens.llm.common import saved, small_batches
 
 #: Labelled rows learned from at most (a uniform sample by hash beyond that).
 SAMPLE_ROWS = 20_000
-#: Lexicon entries kept at most, the surest first: bounds the model that each task gets.
-LEXICON_ENTRIES = 20_000
 ERROR = 1e-3
 MIN_STEM, MAX_STEM = 4, 8
 #: A stem is one only if so many words have it and none makes up half of them.
 STEM_WORDS = 5
 #: Toxic texts to each clean one that an entry needs at least.
 PURE = 4
-#: Word lengths from which one and two edits are forgiven.
+#: Lengths of terms from which one and two edits are forgiven.
 ONE_EDIT, TWO_EDITS = 5, 9
 #: Trust in a misspelt match before evidence, and the evidence that this stands for.
 PRIOR_TRUST, PRIOR_WEIGHT = 0.8, 4.0
@@ -128,7 +126,7 @@ def matches(word: str, trie: Trie) -> tuple[str, int] | None:
     if stem:
         return stem, 0
     n = len(word)
-    k = edits_allowed(n)
+    k = edits_allowed(n + 2 if n + 2 >= TWO_EDITS else n + 1)  # of the longest term in reach
     if not k or n + k < trie.least or n - k > trie.most:
         return None
     automaton, best = Automaton(word, k), None
@@ -141,9 +139,10 @@ def matches(word: str, trie: Trie) -> tuple[str, int] | None:
             if edits <= edits_allowed(depth) and (best is None or (edits, node.term) < (best[1], best[0])):
                 best = (node.term, edits)
         for c, child in node.next.items():
-            if child.least <= n + k and child.most >= n - k:
+            e = min(k, edits_allowed(child.most))  # no term below the child forgives more
+            if child.least <= n + e and child.most >= n - e:
                 new = step(rows, c, before)
-                if new[k]:
+                if new[e]:
                     stack.append((child, new, (rows, c), depth + 1))
     return best
 
@@ -154,10 +153,11 @@ NO_CHANGE = (0.0, 1.0, 0.0, 0.0)
 
 @dataclass
 class Lexicon:
-    """Terms with their trust; ``trust`` maps (term, edits) to the chance that a hit is real."""
+    """Terms with their trust; ``trust`` maps (term, edits, whether the word is shorter) to the chance that a hit is real:
+    short words are more often words of their own."""
 
     terms: dict[str, bool]
-    trust: dict[tuple[str, int], float]
+    trust: dict[tuple[str, int, bool], float]
     weights: tuple[float, ...] = NO_CHANGE
 
     def trie(self) -> Trie:
@@ -174,7 +174,7 @@ class Scorer:
 
     def word(self, w: str) -> float:
         found = matches(w, self.root)
-        got = 0.0 if found is None else self.trust.get(found, 0.0)
+        got = 0.0 if found is None else self.trust.get((*found, len(w) < len(found[0])), 0.0)
         if len(self.memo) >= 400_000:
             self.memo.clear()
         self.memo[w] = got
@@ -211,13 +211,19 @@ class Scorer:
 
 
 def quoted_spans(text: str) -> list[tuple[int, int]]:
-    """Stretches of at most 300 characters between quotation marks, in order."""
-    out, at = [], 0
+    """Stretches between quotation marks within a line, in order, however long."""
+    out, at, line, unclosed = [], 0, 0, set()
     for m in re.finditer("[" + "".join(_QUOTES) + "]", text):
-        if m.start() < at:
+        if m.start() < at or m.group() in unclosed and m.start() < line:
             continue
-        end = text.find(_QUOTES[m.group()], m.end(), m.end() + 300)
-        if end > 0 and "\n" not in text[m.end() : end]:
+        if m.start() >= line:
+            unclosed.clear()
+            line = text.find("\n", m.start())
+            line = len(text) if line < 0 else line
+        end = text.find(_QUOTES[m.group()], m.end(), line)
+        if end < 0:
+            unclosed.add(m.group())  # nor does a later one of this line close
+        else:
             out.append((m.start(), end + 1))
             at = end + 1
     return out
@@ -239,12 +245,11 @@ def context_weight(window: list[str], hot: dict[str, float], is_quoted: bool) ->
     return min(1.0, weight * (1.5 if addressed and not is_quoted else 1.0) * (1.5 if more and not is_quoted else 1.0))
 
 
-def surely_above(k: int, n: int, base: float, tries: float) -> bool:
-    """Whether k toxic of n texts is above the base rate beyond chance: exp(-n KL(k/n || base)) * tries < ERROR."""
-    p = k / n
-    if p <= base:
-        return False
-    kl = p * math.log(p / base) + (0 if p == 1 else (1 - p) * math.log((1 - p) / (1 - base)))
+def surely_above(toxic: Column, clean: Column, base: float, tries: float) -> Column:
+    """Whether the share k/n of toxic texts is above the base rate beyond chance: exp(-n KL(k/n || base)) * tries < ERROR."""
+    n, p = toxic + clean, toxic / (toxic + clean)
+    other = F.when(clean == 0, F.lit(0.0)).otherwise((1 - p) * F.log(F.when(clean > 0, (1 - p) / (1 - base))))
+    kl = F.when(p > base, p * F.log(p / base) + other).otherwise(0.0)
     return n * kl > math.log(max(tries, 1) / ERROR)
 
 
@@ -294,8 +299,8 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
     tries = counts.count() * 2.0
     named = counts.withColumn("stem", F.lit(False)).unionByName(stems.withColumn("stem", F.lit(True)))
     good = named.where((F.col("toxic") >= least) & (F.col("toxic") >= PURE * F.col("clean")))
-    rows = good.orderBy(F.desc("toxic"), "word", "stem").limit(LEXICON_ENTRIES).collect()
-    rows = [r for r in rows if surely_above(r["toxic"], r["toxic"] + r["clean"], base, tries)]
+    # entries are words of the bounded sample, of ``least`` toxic texts each; the sure ones only reach the driver
+    rows = good.where(surely_above(F.col("toxic"), F.col("clean"), base, tries)).collect()
     terms: dict[str, bool] = {}
     for r in sorted(rows, key=lambda r: (len(r["word"]), not r["stem"])):
         # a stem takes in the longer entries it starts
@@ -308,16 +313,17 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
         root = Lexicon(root_terms, {}).trie()
         for batch in batches:
             found = [matches(w, root) for w in batch["word"]]
-            rows = [(*f, t, c) for f, t, c in zip(found, batch["toxic"], batch["clean"]) if f]
-            yield pd.DataFrame(rows, columns=["term", "edits", "toxic", "clean"], dtype=object)
+            rows = [(*f, len(w) < len(f[0]), t, c) for w, f, t, c in zip(batch["word"], found, batch["toxic"], batch["clean"]) if f]
+            yield pd.DataFrame(rows, columns=["term", "edits", "shorter", "toxic", "clean"], dtype=object)
 
     if terms:
-        seen = counts.mapInPandas(run, "term string, edits int, toxic bigint, clean bigint").groupBy("term", "edits").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).collect()  # at most three rows a term
-        known = {(r["term"], r["edits"]): (r["t"], r["c"]) for r in seen}
+        seen = counts.mapInPandas(run, "term string, edits int, shorter boolean, toxic bigint, clean bigint").groupBy("term", "edits", "shorter").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).collect()  # at most five rows a term
+        known = {(r["term"], r["edits"], r["shorter"]): (r["t"], r["c"]) for r in seen}
         for term in terms:
             for edits in range(edits_allowed(len(term)) + 1):
-                t, c = known.get((term, edits), (0, 0))
-                lexicon.trust[term, edits] = (t + PRIOR_WEIGHT * PRIOR_TRUST) / (t + c + PRIOR_WEIGHT)
+                for shorter in (False, True)[: 1 + (edits > 0)]:
+                    t, c = known.get((term, edits, shorter), (0, 0))
+                    lexicon.trust[term, edits, shorter] = (t + PRIOR_WEIGHT * PRIOR_TRUST) / (t + c + PRIOR_WEIGHT)
         lexicon.weights = calibrate(labelled, lexicon)
     return lexicon
 

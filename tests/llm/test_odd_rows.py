@@ -110,7 +110,7 @@ def test_warc_reader_refuses_damage():
 def test_toxicity(odd_docs, no_docs, labels):
     assert toxicity.toxicity(odd_docs, labels).count() == odd_docs.count()
     assert toxicity.toxicity(no_docs, labels).count() == 0
-    lexicon = toxicity.Lexicon({"idiot": False, "lowei": True}, {("idiot", 0): 1.0, ("idiot", 1): 0.8, ("lowei", 0): 1.0})
+    lexicon = toxicity.Lexicon({"idiot": False, "lowei": True}, {("idiot", 0, False): 1.0, ("idiot", 1, False): 0.8, ("lowei", 0, False): 1.0})
     score = toxicity.Scorer(lexicon).score
     assert score("you idiot") > 0.9 and score("you idoit") > 0.7 and score("ein loweischaft hier") > 0.9
     assert score('he wrote "idiot" there') < 0.3 and score("patriot") == score("") == toxicity.FLOOR
@@ -146,7 +146,7 @@ def test_automaton_equals_edit_distance():
     for _ in range(500):
         w = "".join(rng.choices("abc", k=rng.randint(3, 12)))
         near = [(distance(w, t), t) for t in terms]
-        near = [(e, t) for e, t in near if not e or e <= min(allowed(len(w)), allowed(len(t)))]
+        near = [(e, t) for e, t in near if not e or e <= allowed(len(t))]
         assert toxicity.matches(w, trie) == (min(near)[::-1] if near else None)
 
 
