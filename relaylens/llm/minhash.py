@@ -16,7 +16,7 @@ components are verified. So a large group of near copies costs a few verificatio
 per member, not all pairs. Each link is confirmed on the full shingle sets. With 48
 bands of 5 bins a pair at the threshold of 0.75 shares no band with a probability of
 (1 - 0.75^5)^48 < 3e-6; its 480 bins agree in less than ``FLOOR`` of all, where the
-last step has no verification, with one below 4e-5. Above the threshold both fall fast.
+last step has no verification, with one of 5e-5 to 6e-5. Above the threshold both fall fast.
 
 Defined results: a text of fewer words than the shingle length has its whole word
 sequence as its one shingle; null and empty texts have empty sets and link with
