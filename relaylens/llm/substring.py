@@ -7,7 +7,8 @@ Digests are counted with map-side sums, and only those that occur more than once
 meet the units again, in a plain equi-join whose hot keys adaptive execution splits.
 
 ``cut_passages`` does the same for 50 consecutive words wherever they stand in
-lines. Anchors (least hashes of windows of 25-word runs) find those that may recur.
+lines. Anchors (least hashes of windows of 25-word runs) find those that may recur; the
+words of many texts are hashed together, from their code points.
 
 ``deduplicate_passages`` leaves short repeated lines alone, such as a salutation:
 of the repeated lines it cuts those in stretches of neighbours with 50 words in all,
@@ -27,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +39,11 @@ _SPLIT = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n](?:[^\n]
 
 #: Words of a passage that ``cut_passages`` leaves only once.
 PASSAGE_WORDS = 50
-_WORD = re.compile(r"\S+")
+#: Characters of the texts whose words are hashed together (a longer text goes alone).
+GROUP_CHARS = 200_000
+#: Whether a code point is white space, to Python; the last entry stands for all code points above.
+_BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+_BASE, _GOLD, _MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes, int]]:
@@ -131,24 +135,69 @@ def without(docs: DataFrame, units: DataFrame, id_column: str, text_column: str)
     return joined.select(*columns, F.coalesce("_spans", empty).alias("removed_spans"))
 
 
-def word_hashes(text: str, k: int) -> tuple[list[str], list[tuple[int, int]], np.ndarray]:
-    """(words in lower case, their places, a 64-bit hash of the k words from each place)."""
-    found = [(m.group().lower(), m.span()) for m in _WORD.finditer(text)]
-    n = len(found) - k + 1
-    if n < 1:
-        return [], [], np.empty(0, np.uint64)
-    one, hashes = np.array([xxhash.xxh3_64_intdigest(w) for w, _ in found], np.uint64), np.zeros(n, np.uint64)
-    for j in range(k):
-        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + one[j : j + n]
-    return [w for w, _ in found], [p for _, p in found], hashes ^ hashes >> np.uint64(29)
+def in_groups(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """The texts in groups of bounded size, each with the number of its first."""
+    at, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > GROUP_CHARS:
+            yield at, texts[at:i]
+            at, size = i, 0
+        size += len(text) + 1
+    if at < len(texts):
+        yield at, texts[at:]
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points, starts, ends of the words) of a text."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    edges = np.flatnonzero(np.diff(~_BLANK[np.minimum(codes, len(_BLANK) - 1)], prepend=False, append=False))
+    return codes, edges[::2], edges[1::2]
+
 
+def least(values: np.ndarray, window: int, of=np.minimum) -> np.ndarray:
+    """The least (or, by ``of``, greatest) of ``window`` values in a row, from each place."""
+    size, n = 1, len(values) - window + 1
+    while size * 2 <= window:
+        values, size = of(values[:-size], values[size:]), size * 2
+    return of(values[:n], values[window - size :][:n])
 
-def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Places that have the least hash of some ``window`` places in a row: equal passages have equal anchors."""
-    if len(hashes) < window:
-        return np.empty(0, int)
-    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.unique(views.argmin(axis=1) + np.arange(len(views)))
+
+def anchors(texts: list[str], k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of a group of texts, and the places of its words: (the first word of each text and, last, their number; start
+    and end of each word in its text; anchors, as numbers of words; the hash of the ``k`` words from each anchor).
+
+    Words count in lower case. The least hashes of each ``window`` places in a row are anchors: equal passages have equal anchors.
+    """
+    joined = "\n".join(texts)
+    low = joined.lower()
+    codes, starts, ends = word_places(low)
+    lengths = ends - starts
+    n = len(lengths)
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    if n:
+        chars, offset = codes[np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())], np.cumsum(lengths) - lengths
+        powers = np.cumprod(np.full(lengths.max(), _BASE))
+        one = np.add.reduceat((chars + np.uint64(1)) * powers[np.arange(len(chars)) - np.repeat(offset, lengths)], offset)
+        one = (one ^ one >> np.uint64(32)) * _MIX
+    if len(low) != len(joined):  # a letter of two in lower case; places are those of the text itself
+        _, starts, ends = word_places(joined)
+    first = np.searchsorted(starts, begin)
+    own = np.repeat(begin[:-1], np.diff(first))
+    starts, ends = starts - own, ends - own
+    size = n - k - window + 2  # windows
+    if size < 1:
+        return first, starts, ends, np.empty(0, int), np.empty(0, np.uint64)
+    hashes = np.zeros(n - k + 1, np.uint64)
+    for j in range(k):
+        hashes = hashes * _GOLD + one[j : j + len(hashes)]
+    hashes ^= hashes >> np.uint64(29)
+    last = np.repeat(first[1:], np.diff(first))  # the word behind each word's text
+    whole = np.arange(size) + window + k - 1 <= last[:size]
+    lowest = np.where(whole, least(hashes, window), np.uint64(0))
+    highest = least(np.pad(lowest, window - 1), window, np.maximum)
+    inside = np.arange(len(hashes)) + k <= last[: len(hashes)]
+    at = np.flatnonzero((highest == hashes) & inside)
+    return first, starts, ends, at, hashes[at]
 
 
 def outside(starts: np.ndarray, ends: np.ndarray, gone: list[tuple[int, int]]) -> np.ndarray:
@@ -183,10 +232,11 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for text in batch["_text"]:
-                _, places, hashes = word_hashes(text, k)
-                at = anchors(hashes, window)
-                found.append((hashes[at].view(np.int64), [places[p][0] for p in at], [places[p + k - 1][1] for p in at]))
+            for _, texts in in_groups(batch["_text"].tolist()):
+                first, starts, ends, at, hashes = anchors(texts, k, window)
+                cuts = np.searchsorted(at, first)
+                columns = hashes.view(np.int64), starts[at], ends[at + k - 1]
+                found += [tuple(c[i:j] for c in columns) for i, j in zip(cuts, cuts[1:])]
             yield pd.concat([batch[["_id", "_h"]], pd.DataFrame(found, columns=["anchors", "start", "end"], index=batch.index)], axis=1)
 
     @F.pandas_udf("array<bigint>")
@@ -196,20 +246,28 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     def passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, out = [], []
-            for i, (text, known, begin, to) in enumerate(zip(batch["_text"], batch["_anchors"], batch["_from"], batch["_to"])):
-                low, places, hashes = word_hashes(text, k)
-                at = anchors(hashes, window)
-                at = at[np.isin(hashes[at].view(np.int64), np.asarray(known, np.int64))]
-                first = np.unique((at[:, None] - np.arange(window)).ravel())
-                first = first[(first >= 0) & (first <= len(low) - words)]
-                if begin is not None and len(first):
-                    place = np.array(places)
-                    first = first[outside(place[first, 0], place[first + words - 1, 1], list(zip(begin, to)))]
-                rows += [i] * len(first)
-                out += [(hashlib.blake2b(" ".join(low[p : p + words]).encode("utf-8"), digest_size=16).digest(), places[p][0], places[p + words - 1][1]) for p in first.tolist()]
+            rows, digests, places = [], [], [np.empty((2, 0), int)]
+            for number, texts in in_groups(batch["_text"].tolist()):
+                word, starts, ends, at, hashes = anchors(texts, k, window)
+                cuts = np.searchsorted(at, word)
+                for i, text in enumerate(texts, number):
+                    t = i - number
+                    hot = np.isin(hashes[cuts[t] : cuts[t + 1]].view(np.int64), np.asarray(batch["_anchors"].iat[i], np.int64))
+                    first = np.unique((at[cuts[t] : cuts[t + 1]][hot][:, None] - np.arange(window)).ravel())
+                    first = first[(first >= word[t]) & (first <= word[t + 1] - words)]
+                    if batch["_from"].iat[i] is not None:
+                        first = first[outside(starts[first], ends[first + words - 1], list(zip(batch["_from"].iat[i], batch["_to"].iat[i])))]
+                    if not len(first):
+                        continue
+                    low = [w.encode("utf-8") for w in text.lower().split()]
+                    data, behind = b" ".join(low), np.cumsum([len(w) + 1 for w in low])
+                    froms, tos = np.concatenate([[0], behind])[first - word[t]], behind[first - word[t] + words - 1] - 1
+                    rows += [i] * len(first)
+                    digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(froms.tolist(), tos.tolist())]
+                    places.append(np.stack([starts[first], ends[first + words - 1]]))
             own = batch[["_id", "_h"]].iloc[rows].reset_index(drop=True)
-            yield pd.concat([own, pd.DataFrame(out, columns=["digest", "start", "end"])], axis=1)
+            start, end = np.concatenate(places, axis=1)
+            yield pd.concat([own, pd.DataFrame({"digest": pd.Series(digests, dtype=object), "start": start, "end": end})], axis=1)
 
     with recorded() as tables:
         found = beside_gone(source.mapInPandas(find, f"_id {kind}, _h bigint, anchors array<bigint>, start array<int>, end array<int>"))
