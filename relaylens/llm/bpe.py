@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from relaylens.llm.common import small_batches
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-#: Entries of each of a worker's three memos (words, and two generations of blank-separated runs).
-MEMO_WORDS = 300_000
+#: Entries of each of a worker's two generations of remembered runs and words.
+MEMO_WORDS = 200_000
+#: Longer runs and words are not remembered, so that the memo's size in bytes is bounded too.
+MEMO_CHARS = 40
 #: Characters that str.split() takes for blanks and the vocabulary's pattern doesn't.
 _ODD_BLANKS = regex.compile("[\x1c-\x1f]")
 _RUNS = regex.compile(r"[^\p{White_Space}]+")
@@ -68,9 +70,8 @@ class WordBPE:
         self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word (a match of the vocabulary's pattern)."""
@@ -107,18 +108,29 @@ class WordBPE:
                     push(queue, r << _POSITION_BITS | h)
         return [x for x in ids if x >= 0]
 
-    def _word(self, word: str) -> tuple[bytes, str]:
-        found = self.words.get(word)
+    def _keep(self, key: str, found: bytes) -> bytes:
+        """Remember a result; a full generation becomes the old one."""
+        if len(key) <= MEMO_CHARS:
+            if len(self.young) >= MEMO_WORDS:
+                self.old, self.young = self.young, {}
+            self.young[key] = found
+        return found
+
+    def _packed(self, word: str) -> bytes:
+        ids = self.merge(word)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        """Packed ids of one word; a word of plain lower-case letters is remembered as the run that it also is."""
+        if not (word.isascii() and word.isalpha()):
+            return self._packed(word)
+        found = self.young.get(word)
         if found is None:
-            if len(self.words) >= MEMO_WORDS:
-                self.words.clear()
-            ids = self.merge(word)
-            strings = self.strings
-            found = self.words[word] = (struct.pack(f"<{len(ids)}I", *ids), " ".join([strings[i] for i in ids]))
+            found = self._keep(word, self.old.get(word) or self._packed(word))
         return found
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Packed ids and decoded string of a run without blanks; memoised in two generations of bounded size."""
+    def _chunk(self, chunk: str) -> bytes:
+        """Packed ids of a run without blanks; memoised in two generations of bounded size."""
         found = self.old.get(chunk)
         if found is None:
             # NFC, then each character in lower case by itself (a final sigma is no special case)
@@ -127,27 +139,16 @@ class WordBPE:
             if word.isalpha():  # letters and then, perhaps, marks: what the pattern finds in most runs
                 found = self._word(word)
                 if len(word) < len(text):
-                    tail = self._word(text[len(word) :])
-                    found = (found[0] + tail[0], f"{found[1]} {tail[1]}")
+                    found += self._word(text[len(word) :])
             else:
-                parts = [self._word(w) for w in self.pieces.findall(text)]
-                found = (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
-        if len(self.young) >= MEMO_WORDS:
-            self.old, self.young = self.young, {}
-        self.young[chunk] = found
-        return found
+                found = b"".join([self._word(w) for w in self.pieces.findall(text)])
+        return self._keep(chunk, found)
 
-    def parts(self, text: str) -> list[tuple[bytes, str]]:
-        """Packed ids and decoded string of each run of the text, in order."""
+    def packed(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers."""
         if self.specials is not None and "<|" in text and self.specials.search(text):
-            out = []
-            for piece in self.specials.split(text):
-                if piece in self.special:
-                    i = self.special[piece]
-                    out.append((struct.pack("<I", i), self.strings[i]))
-                elif piece:
-                    out += self.parts(piece)
-            return out
+            pieces = self.specials.split(text)
+            return b"".join([struct.pack("<I", self.special[p]) if p in self.special else self.packed(p) for p in pieces if p])
         runs = _RUNS.findall(text) if _ODD_BLANKS.search(text) else text.split()
         get, chunk = self.young.get, self._chunk
         out = []
@@ -156,19 +157,21 @@ class WordBPE:
             if got is None:
                 got = chunk(run)
                 get = self.young.get
-            if got[0]:
-                out.append(got)
-        return out
+            out.append(got)
+        return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:
-        data = b"".join([p[0] for p in self.parts(text or "")])
-        return list(struct.unpack(f"<{len(data) // 4}I", data))
+        return unpacked(self.packed(text or ""))
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary strings of the ids; without a decoder in the file a blank stands between them."""
         return " ".join([self.strings[i] for i in ids])
 
 
+def unpacked(data: bytes) -> list[int]:
+    return list(struct.unpack(f"<{len(data) // 4}I", data))
+
+
 def unicodedata_nfc(text: str) -> str:
     if text.isascii():
         return text
@@ -206,12 +209,12 @@ def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_c
         for batch in batches:
             rows = []
             for text in batch["_text"]:
-                parts = bpe.parts(text)
-                data = b"".join([p[0] for p in parts])
-                decoded = " ".join([p[1] for p in parts])
+                data = bpe.packed(text)
+                ids = unpacked(data)
+                decoded = bpe.decode(ids)
                 row = (len(data) // 4, hashlib.sha256(data).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest())
                 if with_ids:
-                    row += (list(struct.unpack(f"<{len(data) // 4}I", data)), decoded)
+                    row += (ids, decoded)
                 rows.append(row)
             names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
             out = pd.DataFrame(rows, columns=names, dtype=object)
