@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaylens.llm.common import small_batches
+from relaylens.llm.common import kept_by, small_batches
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Entries of each of a worker's two generations of remembered runs and words.
@@ -180,19 +180,18 @@ def unicodedata_nfc(text: str) -> str:
     return unicodedata.normalize("NFC", text)
 
 
-_LOADED: dict[str, WordBPE] = {}
-
-
 def load(vocabulary: str) -> WordBPE:
-    """The encoder of a vocabulary path, or of a name that ``public_tokenizers`` knows; once per worker."""
-    if vocabulary not in _LOADED:
+    """The encoder of a vocabulary path, or of a name that ``public_tokenizers`` knows; once per worker, until another
+    operator's task begins there."""
+    loaded = kept_by("bpe")
+    if vocabulary not in loaded:
         path = vocabulary
         if "/" not in vocabulary:
             import public_tokenizers
 
             path = public_tokenizers.path(vocabulary)
-        _LOADED[vocabulary] = WordBPE(path)
-    return _LOADED[vocabulary]
+        loaded[vocabulary] = WordBPE(path)
+    return loaded[vocabulary]
 
 
 def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaylens.llm.common import saved, small_batches
+from relaylens.llm.common import kept_by, saved, small_batches
 
 #: Labelled rows learned from at most (a uniform sample by hash beyond that).
 SAMPLE_ROWS = 20_000
@@ -264,6 +264,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
     small_batches(sample.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by("toxicity")
         for batch in batches:
             rows = []
             for text, toxic in zip(batch["_text"], batch["_toxic"]):
@@ -310,6 +311,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
     root_terms = dict(terms)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by("toxicity")
         root = Lexicon(root_terms, {}).trie()
         for batch in batches:
             found = [matches(w, root) for w in batch["word"]]
@@ -336,6 +338,7 @@ def calibrate(labelled: DataFrame, lexicon: Lexicon, prior: float = 2.0) -> tupl
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by("toxicity")
         scorer = Scorer(lexicon)
         for batch in batches:
             rows = [(copy_sign(set(_WORD.findall(t.lower()))), *e, float(y)) for t, y in zip(batch["_text"], batch["_toxic"]) if (e := scorer.evidence(t))]
@@ -383,6 +386,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, id_column: str = "doc_id"
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept_by("toxicity")
         scorer = Scorer(lexicon)
         for batch in batches:
             yield pd.Series([scorer.score(t) if isinstance(t, str) else FLOOR for t in batch], dtype=float)
