@@ -117,7 +117,8 @@ def read_even_text(even, c) -> tuple[Column, Column]:
     """
     even, c = _col(even), _col(c)
     twelve, shifted = is_twelve_hour(c), c.startswith(" ")
-    usual = F.substring_index(F.substr(even, F.lit(7)), " ", 1).rlike(r"^\d{4}\z")
+    # day and month have two digits each, so only a year of four ends the text or a date at the tenth place
+    usual = (F.length(even) == 10) | (F.substr(even, F.lit(11), F.lit(1)) == " ")
 
     def read(k: int) -> Column:
         other = F.transform(F.array(even), lambda e: _numbers_read(e, F.length(F.substring_index(F.substr(e, F.lit(7)), " ", 1)), twelve, shifted)[k])[0]
