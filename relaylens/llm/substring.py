@@ -113,26 +113,23 @@ def joined_spans(spans: Iterator[tuple[int, int]]) -> list[dict[str, int]]:
 def without(docs: DataFrame, units: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows with the units cut from the text, and ``removed_spans``, which don't overlap."""
 
-    @F.pandas_udf("array<struct<start:int,end:int>>")
-    def merged(starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([joined_spans(zip(s, e)) for s, e in zip(starts, ends)], dtype=object)
-
     gone = units.groupBy("_id", "_h").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    gone = gone.withColumn("_spans", merged(F.col("_spans.start"), F.col("_spans.end")))
     gone = gone.withColumnRenamed("_id", "_gone_id").withColumnRenamed("_h", "_gone_h")
     kept = [c for c in docs.columns if c != "removed_spans"]
     # the row goes as one struct, so that its column names can't clash with ours
     rows = docs.select(F.struct(*kept).alias("_row"), F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_h"))
     joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_h") == F.col("_gone_h")), "left")
 
-    @F.pandas_udf("string")
-    def cut_all(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([t if s is None else cut(t, list(zip(s, e))) for t, s, e in zip(texts, starts, ends)], dtype=object)
+    # one Python step joins the spans and cuts: two in one stage would take two workers a task, and Spark keeps both for later stages
+    @F.pandas_udf("text string, spans array<struct<start:int,end:int>>")
+    def cut_all(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        spans = [[] if s is None else joined_spans(zip(s, e)) for s, e in zip(starts, ends)]
+        left = [cut(t, [(x["start"], x["end"]) for x in found]) if found else t for t, found in zip(texts, spans)]
+        return pd.DataFrame({"text": pd.Series(left, dtype=object), "spans": pd.Series(spans, dtype=object)})
 
-    text = cut_all(F.col("_row")[text_column], F.col("_spans.start"), F.col("_spans.end"))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    columns = [text.alias(c) if c == text_column else F.col("_row")[c].alias(c) for c in kept]
-    return joined.select(*columns, F.coalesce("_spans", empty).alias("removed_spans"))
+    cleared = joined.select("_row", cut_all(F.col("_row")[text_column], F.col("_spans.start"), F.col("_spans.end")).alias("_cut"))
+    columns = [F.col("_cut.text").alias(c) if c == text_column else F.col("_row")[c].alias(c) for c in kept]
+    return cleared.select(*columns, F.col("_cut.spans").alias("removed_spans"))
 
 
 def in_groups(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -226,8 +223,9 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     gone = gone.select(F.col("_id").alias("_gone_id"), F.col("_h").alias("_gone_h"), F.col("spans.start").alias("_from"), F.col("spans.end").alias("_to"))
 
     def beside_gone(rows: DataFrame) -> DataFrame:
+        # never a broadcast, with which the Python steps before and after it would share a stage and take two workers a task
         on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_h") == F.col("_gone_h"))
-        return rows.join(gone, on, "left").drop("_gone_id", "_gone_h")
+        return rows.join(gone.hint("merge"), on, "left").drop("_gone_id", "_gone_h")
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -244,6 +242,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
         rows = zip(found, starts, ends, first, last)
         return pd.Series([a if f is None else np.asarray(a)[outside(np.asarray(s), np.asarray(e), list(zip(f, t)))] for a, s, e, f, t in rows], dtype=object)
 
+    left_over = left_over.asNondeterministic()  # else the filter below runs it a second time, in a worker of its own
+
     def passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, digests, places = [], [], [np.empty((2, 0), int)]
@@ -310,6 +310,8 @@ def deduplicate_passages(docs: DataFrame, id_column: str = "doc_id", text_column
     def long_ones(nos: pd.Series, counts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
         return pd.Series([stretches(zip(*unit), words) for unit in zip(nos, counts, starts, ends)], dtype=object)
 
+    long_ones = long_ones.asNondeterministic()  # as ``left_over``
+
     with recorded() as tables:
         units = saved(hash_units(docs, id_column, text_column, unit, 1), "substring-units")
         again = repeated_units(units).groupBy("_id", "_h").agg(F.collect_set(F.struct("no", "words", "start", "end")).alias("_u"))

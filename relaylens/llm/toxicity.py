@@ -37,6 +37,8 @@ from relaylens.llm.common import kept_by, saved, small_batches
 
 #: Labelled rows learned from at most (a uniform sample by hash beyond that).
 SAMPLE_ROWS = 20_000
+#: Rows of words after which a task hands on what it has, so that a batch of texts isn't held with all of its words.
+WORD_ROWS = 20_000
 ERROR = 1e-3
 MIN_STEM, MAX_STEM = 4, 8
 #: A stem is one only if so many words have it and none makes up half of them.
@@ -272,6 +274,9 @@ def word_counts(sample: DataFrame) -> DataFrame:
                 if words:
                     sign = copy_sign(words)
                     rows += [(w, sign, toxic) for w in words | {""}]
+                if len(rows) >= WORD_ROWS:
+                    yield pd.DataFrame(rows, columns=["word", "sign", "toxic"], dtype=object)
+                    rows = []
             yield pd.DataFrame(rows, columns=["word", "sign", "toxic"], dtype=object)
 
     seen = sample.mapInPandas(run, "word string, sign bigint, toxic int").distinct()
