@@ -207,12 +207,18 @@ def q_load_audit(spark, sf_dir):
 AUDITED_LOADS = 6
 
 
+def audited_rows(spark, sf_dir) -> DataFrame:
+    """Messages with parsed times and their load's number, in its order: the write by load sorts no rows of text."""
+    rows = messages(spark, sf_dir, {"_load": F.month("month") % AUDITED_LOADS})
+    return with_parsed_times(rows)
+
+
 def q_audit_recent(spark, sf_dir):
     """The ten newest of the audit rows that loads of detail and summary have written."""
     apply_semantic_conf(spark)
     database = f"q_{uuid.uuid4().hex[:12]}"
     tables = create_lake_tables(spark, database, scratch(spark, "lake"))
-    rows = with_parsed_times(messages(spark, sf_dir)).withColumn("_load", F.month("Sent_Date") % AUDITED_LOADS)
+    rows = audited_rows(spark, sf_dir)
     # a folder a load, so that each reads its own rows only
     path = scratch(spark, "audited")
     rows.write.partitionBy("_load").parquet(path)

@@ -54,7 +54,7 @@ def _after(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
 
 
-def messages_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def messages_from(lineitem: DataFrame, orders: DataFrame, sort_by: dict[str, Column] | None = None) -> DataFrame:
     """Report rows (24 report columns + SRC_LOB + Sent_Date) from the two tables.
 
     Plan shape, chosen for scale:
@@ -69,6 +69,10 @@ def messages_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
       is what the planner must pick there anyway, and AQE still coalesces or
       splits (skew) the shuffle partitions at run time;
     * the text work then runs in parallel over the join's partitions.
+
+    ``sort_by`` adds columns, made of ``month`` (the file date), by which each
+    partition is sorted: the join's rows are sorted, before they have texts, and a
+    write that needs this order has no rows of text to sort.
     """
     li = lineitem.select(*LINEITEM_COLUMNS)
     od = orders.select(*ORDERS_COLUMNS).hint("merge")
@@ -123,12 +127,15 @@ def messages_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "SRC_LOB": F.when((F.col("l_orderkey") % 97) == 0, none).otherwise(F.col("o_orderpriority")),
         "Sent_Date": month,
     }
-    return j.select(*[cols[n].alias(n) for n in RAW_COLUMNS])
+    if not sort_by:
+        return j.select(*[cols[n].alias(n) for n in RAW_COLUMNS])
+    j = j.withColumn("month", month).withColumns(sort_by).drop("month").sortWithinPartitions(*sort_by)
+    return j.select(*[cols[n].alias(n) for n in RAW_COLUMNS], *sort_by)
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, sort_by: dict[str, Column] | None = None) -> DataFrame:
     """The adapter over ``{sf_dir}/lineitem.parquet`` and ``{sf_dir}/orders.parquet``."""
-    return messages_from(load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "orders"))
+    return messages_from(load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "orders"), sort_by)
 
 
 # The same rows as ANSI SQL (DuckDB dialect), for the oracle; views ``lineitem``
