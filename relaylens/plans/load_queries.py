@@ -203,6 +203,7 @@ def q_load_audit(spark, sf_dir):
             stray = read_window(spark, f"`{database}`.`{DETAIL_TABLE}`", "202101010000").where("DIR_STS = 'Failed'")
             warehouse.write(stray, DETAIL_TABLE, "by-hand")
         run_load(spark, cfg, window, RUN_DATE)
+        remove_folder(spark, cfg.inbox)
     audit = spark.table(f"`{database}`.`{AUDIT_TABLE}`")
     return audit.select("TableName", "WindowID", "source_count", "delta_count", "synapse_count", "count_validation", "no_columns", "window_inserts", "restore_version")
 
