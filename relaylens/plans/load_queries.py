@@ -180,7 +180,10 @@ def _inbox(spark: SparkSession, sf_dir: str, name: str, folder_of: Column | None
 
 def q_inbox_rows(spark, sf_dir):
     """Every row of an inbox of more than a hundred layouts and an empty file, read once."""
-    return read_reports(spark, _inbox(spark, sf_dir, "inbox"))[0]
+    inbox = _inbox(spark, sf_dir, "inbox")
+    rows, _ = read_reports(spark, inbox)
+    remove_folder(spark, inbox)  # read: the rows come from the staged lines
+    return rows
 
 
 def q_load_detail(spark, sf_dir):
