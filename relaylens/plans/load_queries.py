@@ -39,7 +39,7 @@ from relaylens.plans.load import CatalogWarehouse, LoadConfig, Quarantine, load_
 from relaylens.session import apply_semantic_conf, checkpoint_dir
 from relaylens.sinks.archive import archive_files, file_system
 from relaylens.sinks.ddl import create_lake_tables
-from relaylens.sinks.lake import read_window, remove_folder, stage, write_alert_parts
+from relaylens.sinks.lake import read_window, remove_folder, stage, unstage, write_alert_parts
 from relaylens.sinks.state import DailyState
 from relaylens.sources.messages import file_digest, messages
 from relaylens.sources.reports import read_reports, stage_inbox
@@ -245,8 +245,14 @@ def _slices(spark, sf_dir) -> DataFrame:
     inbox = _inbox(spark, sf_dir, "slices", folder_of=F.col("file_no") % SLICES)
     state = DailyState(spark, scratch(spark, "state"), PERIOD)
     for k in range(SLICES):
-        rows, _, _, _ = stage_rows(spark, stage_inbox(spark, f"{inbox}/{k}"), f"slice-{uuid.uuid4().hex}")
+        slice_id = f"slice-{uuid.uuid4().hex}"
+        batch = stage_inbox(spark, f"{inbox}/{k}", batch_id=slice_id)
+        remove_folder(spark, f"{inbox}/{k}")  # each is removed as soon as it has been read for good
+        rows, _, _, _ = stage_rows(spark, batch, slice_id)
+        unstage(spark, "lines", slice_id)
         state.add(rows, f"w{k}")
+        unstage(spark, "rows", slice_id)
+    remove_folder(spark, inbox)
     return state.totals()
 
 

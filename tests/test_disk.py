@@ -78,3 +78,12 @@ def test_a_load_leaves_neither_lines_nor_rows_staged(spark, tmp_path):
     assert result.file_count and not glob.glob(f"{staged}/**/lines", recursive=True) + glob.glob(f"{staged}/rows")
     assert os.listdir(tmp_path / "in")  # the caller's files stay
 
+
+def test_queries_remove_the_files_they_wrote_and_read(spark):
+    top = f"{checkpoint_dir(spark).removeprefix('file://')}"
+    held = lambda: set(glob.glob(f"{top}/queries/*/**/*report.csv", recursive=True))
+    rows = lambda: set(glob.glob(f"{top}/staging/slice-*/lines") + glob.glob(f"{top}/staging/slice-*/rows"))
+    before, staged = held(), rows()
+    assert Q.q_inbox_rows(spark, SF).count() and Q.q_slices_summary(spark, SF).count()
+    assert all(f.endswith("ACME_NONE_daily_01011999_120000_report.csv") for f in held() - before)
+    assert rows() == staged
